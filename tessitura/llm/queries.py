@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessitura.llm import mojibake, runs
+from tessitura.llm import canonical, leaks, mixing, mojibake, residue, runs, sentences, splits
 from tessitura.runtime import table
 
 
@@ -30,5 +30,117 @@ def p4_restored(spark: SparkSession, d: str) -> DataFrame:
     return mojibake.find_garbled(table(spark, d, "transcript_cues"), "cue_id", "text")
 
 
-QUERIES = {"p1_found": p1_found, "p1_collapsed": p1_collapsed, "p4_found": p4_found, "p4_restored": p4_restored}
-SQL: dict[str, str] = {}
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    cues, units = table(spark, d, "transcript_cues"), table(spark, d, "sentence_units")
+    sent = spark.sparkContext.broadcast(mojibake.train(cues, "text"))
+
+    def garbled():
+        many = mojibake.repairer(sent.value)
+        return lambda texts: many(texts)[0]
+
+    of_units = sentences.sentence_ends(units, "unit_id", "text").select(F.lit("unit").alias("src"), F.col("unit_id").alias("row_id"), "end_pos")
+    of_cues = sentences.sentence_ends(cues, "cue_id", "text", garbled).select(F.lit("cue").alias("src"), F.col("cue_id").alias("row_id"), "end_pos")
+    return of_units.unionByName(of_cues)
+
+
+def p2_sentences(spark: SparkSession, d: str) -> DataFrame:
+    cues, units = table(spark, d, "transcript_cues"), table(spark, d, "sentence_units")
+    of_units = sentences.sentence_units(units, "unit_id", "text").select(F.lit("unit").alias("src"), F.col("unit_id").alias("row_id"), "sentence_idx", "sentence")
+    of_cues = sentences.sentence_units(cues, "cue_id", "text").select(F.lit("cue").alias("src"), F.col("cue_id").alias("row_id"), "sentence_idx", "sentence")
+    return of_units.unionByName(of_cues)
+
+
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    pairs = splits.tied_pairs(table(spark, d, "segments"), splits.recording_keys())
+    return pairs.select(F.col("a").alias("video_a"), F.col("b").alias("video_b"))
+
+
+def _split(spark: SparkSession, d: str) -> DataFrame:
+    targets = [(r["split_name"], r["target_share"]) for r in table(spark, d, "split_targets").orderBy("split_name").limit(1000).collect()]
+    return splits.assign_splits(table(spark, d, "segments"), splits.recording_keys(), F.col("quality_label"), targets)
+
+
+def p5_splits(spark: SparkSession, d: str) -> DataFrame:
+    return _split(spark, d)
+
+
+def p5_shares(spark: SparkSession, d: str) -> DataFrame:
+    s = _split(spark, d).groupBy("split_name", "quality_label").agg(F.count("*").alias("n"))
+    from pyspark.sql import Window
+
+    return s.withColumn("share_of_label", F.col("n") / F.sum("n").over(Window.partitionBy("quality_label")))
+
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return canonical.different_forms(table(spark, d, "worksheets"), "ws_id", ["hypothesis", "reference"])
+
+
+def p6_canonical(spark: SparkSession, d: str) -> DataFrame:
+    w = table(spark, d, "worksheets").select("ws_id", "hypothesis", "reference")
+    return canonical.canonical_columns(w, ["hypothesis", "reference"])
+
+
+def _leaks(spark: SparkSession, d: str) -> DataFrame:
+    return leaks.find_leaks(table(spark, d, "documents"), "doc_id", "text", table(spark, d, "eval_items"), "item_id", "text")
+
+
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return _leaks(spark, d).filter(F.col("longest_run") >= 12).select("doc_id", "item_id")
+
+
+def p7_report(spark: SparkSession, d: str) -> DataFrame:
+    return _leaks(spark, d)
+
+
+def p8_mixture(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.mix(table(spark, d, "documents"), table(spark, d, "mix_targets")).select("doc_id", "source", "copy", "mix_key", "text")
+
+
+def p8_shares(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.shares(table(spark, d, "documents"), table(spark, d, "mix_targets"))
+
+
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return residue.find_residue(table(spark, d, "documents"), "doc_id", "text").select("doc_id")
+
+
+def p9_clean(spark: SparkSession, d: str) -> DataFrame:
+    return residue.without_residue(table(spark, d, "documents"), "doc_id", "text")
+
+
+QUERIES = {
+    "p1_found": p1_found,
+    "p1_collapsed": p1_collapsed,
+    "p2_found": p2_found,
+    "p2_sentences": p2_sentences,
+    "p4_found": p4_found,
+    "p4_restored": p4_restored,
+    "p5_found": p5_found,
+    "p5_splits": p5_splits,
+    "p5_shares": p5_shares,
+    "p6_found": p6_found,
+    "p6_canonical": p6_canonical,
+    "p7_found": p7_found,
+    "p7_report": p7_report,
+    "p8_mixture": p8_mixture,
+    "p8_shares": p8_shares,
+    "p9_found": p9_found,
+    "p9_clean": p9_clean,
+}
+SQL: dict[str, str] = {
+    # the ties of segments, by a recursive walk from every video
+    "p5_found": """
+WITH RECURSIVE r AS (
+  SELECT DISTINCT CASE WHEN trim(video_id) <> '' THEN 'v:' || video_id END AS v, CASE WHEN trim(audio_id) <> '' THEN 'a:' || audio_id END AS a,
+    CASE WHEN trim(segment_id) <> '' THEN 's:' || segment_id END AS s, 'k:' || nullif(regexp_extract(source_url, '[?&;]v=([^&#;\\s]+)', 1), '') AS k
+  FROM segments),
+k AS (SELECT row_number() OVER () AS id, v, a, s, k FROM r),
+t AS (SELECT id, unnest([v, a, s, k]) AS t FROM k), m AS (SELECT DISTINCT id, t FROM t WHERE t IS NOT NULL),
+e AS (SELECT t, min(id) AS lo FROM m GROUP BY t HAVING min(id) < max(id)),
+g AS (SELECT DISTINCT m.id AS x, e.lo AS y FROM m JOIN e USING (t) WHERE m.id <> e.lo),
+b AS (SELECT x, y FROM g UNION SELECT y, x FROM g),
+w(x, y) AS (SELECT id, id FROM k WHERE v IS NOT NULL UNION SELECT w.x, b.y FROM w JOIN b ON w.y = b.x),
+c AS (SELECT x, min(y) AS root FROM w GROUP BY x),
+n AS (SELECT DISTINCT c.root, substr(k.v, 3) AS v FROM c JOIN k ON c.x = k.id)
+SELECT a.v AS video_a, b.v AS video_b FROM n a JOIN n b ON a.root = b.root AND a.v < b.v""".replace("\\\\", "\\"),
+}
