@@ -93,7 +93,8 @@ def uniform(key: Column, seed: int, salt: str) -> Column:
 def plan(sizes: DataFrame, targets: DataFrame, total: float | None) -> list[dict]:
     """Per target source: available documents and tokens, wanted tokens, repetition rate, steps.
 
-    total is the wanted size of the mixture in tokens; by default all tokens that the target sources hold once.
+    total is the wanted size of the mixture in tokens. By default it is the largest at which no present source must be
+    repeated more than its cap allows, but at least half of the tokens that the target sources hold once.
     """
     wanted = targets.filter(F.col("target_share").isNotNull() & (F.col("source").isNotNull())).limit(MAX_SOURCES + 1).collect()
     if len(wanted) > MAX_SOURCES:
@@ -101,7 +102,11 @@ def plan(sizes: DataFrame, targets: DataFrame, total: float | None) -> list[dict
     names = [r["source"] for r in wanted]
     have = {r["source"]: (r["n"], r["tokens"]) for r in sizes.filter(F.col("source").isin(names)).groupBy("source").agg(F.count("*").alias("n"), F.sum("n_tokens").alias("tokens")).collect()}
     shares = sum(r["target_share"] for r in wanted) or 1.0
-    budget = float(sum(t for _, t in have.values())) if total is None else total
+    budget = total
+    if budget is None:
+        once = float(sum(t for _, t in have.values()))
+        room = [have[r["source"]][1] * max(int(r["max_repeats"] or 0), 0) * shares / r["target_share"] for r in wanted if r["source"] in have and r["target_share"] > 0]
+        budget = max(once / 2, min([once, *(x for x in room if x > 0)]))
     out = []
     for r in wanted:
         n, tokens = have.get(r["source"], (0, 0))
