@@ -36,7 +36,7 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
 
     def garbled():
         many = mojibake.repairer(sent.value)
-        return lambda texts: many(texts)[0]
+        return lambda texts, odd: many([t if o else None for t, o in zip(texts, odd)])[0]
 
     of_units = sentences.sentence_ends(units, "unit_id", "text").select(F.lit("unit").alias("src"), F.col("unit_id").alias("row_id"), "end_pos")
     of_cues = sentences.sentence_ends(cues, "cue_id", "text", garbled).select(F.lit("cue").alias("src"), F.col("cue_id").alias("row_id"), "end_pos")
