@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessitura.plans import intervals_q
+from tessitura.plans import captions_q, intervals_q, manifest_q
 
-MODULES = [intervals_q]
-FLAGSHIP = "p3_found"
+MODULES = [intervals_q, captions_q, manifest_q]
+FLAGSHIP = "q_clean_gate"
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
