@@ -151,3 +151,33 @@ def progress(step: Column, status: Column, finished: Column, total: Column) -> C
 def scaled(c: Column, low: float, high: float) -> Column:
     """(c - low) / (high - low), within 0 and 1."""
     return F.least(F.lit(1.0), F.greatest(F.lit(0.0), (c - low) / (high - low)))
+
+
+def without_prefix(c: Column, prefix: Column) -> Column:
+    """Text without a known prefix (compared without case and spacing, cut by its raw length); whole where nothing is left."""
+    flat = lambda x: F.lower(F.trim(F.regexp_replace(x, r"(?U)\s+", " ")))
+    rest = F.trim(F.substr(c, F.length(prefix) + 1))
+    return F.when(flat(c).startswith(flat(prefix)) & (rest != ""), rest).otherwise(c)
+
+
+def match_score(haystack: Column, signals: Column) -> Column:
+    """Sum over the signals that the text holds of 1 to 3 points by their words."""
+    points = lambda s: F.least(F.lit(3), F.greatest(F.lit(1), F.size(F.split(s, " "))))
+    return F.aggregate(F.filter(signals, lambda s: F.contains(haystack, s)), F.lit(0), lambda a, s: a + points(s))
+
+
+def noise_floor(c: Column) -> Column:
+    """The last "Noise floor dB" of a log, -Infinity included; NULL if there is none."""
+    last = F.try_element_at(F.regexp_extract_all(c, F.lit(r"(?i)noise floor db:\s*(-?inf|-?[0-9.]+)"), 1), F.lit(-1))
+    return F.regexp_replace(last, "(?i)inf", "Infinity").try_cast("double")
+
+
+def stable_name(path: Column) -> Column:
+    """A relative path as one file name: parts joined by __, other characters to _, and eight digits of its SHA-1."""
+    stem = F.regexp_replace(F.regexp_replace(path, r"\.[^./]*$", ""), "/", "__")
+    return F.concat_ws("__", F.regexp_replace(stem, r"[^\p{L}\p{N}._\-]", "_"), F.left(F.sha1(F.encode(path, "UTF-8")), F.lit(8)))
+
+
+def seconds_between(started: Column, ended: Column) -> Column:
+    """Seconds from one time to the other, two decimals, not below 0."""
+    return F.greatest(F.lit(0.0), F.round(F.timestamp_diff("MILLISECOND", started, ended) / 1000, 2))
