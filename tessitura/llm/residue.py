@@ -1,9 +1,9 @@
 """Template residue, filler, error pages and script notices.
 
-Records of one template are aligned on the words around a marker: what stays is the template, what varies is a slot. A
-slot that kept a variable name, a default or a blank is residue; a marker that is the same in every record of a
-sentence, amid words that stay the same too, is part of the wording (a text about templates), as is one that the
-sentence speaks about. Whole pages are judged by their units; a page whose masked form is repeated needs less evidence.
+A slot that kept a variable name, a default or a blank is residue, however often its wording recurs. Where the sentence
+speaks about markers, records are aligned on the words around them: what stays is the wording, and only a slot that held
+several names is residue. Whole pages are judged by their units; a page whose masked form different texts share needs
+less evidence.
 """
 
 from __future__ import annotations
@@ -13,12 +13,13 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import regex
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessitura.runtime import cut
 
-#: Documents that a wording must recur in before a marker that never varies in it counts as wording.
+#: Different texts that must share a page's masked form, and different names that a slot spoken about must have held.
 SUPPORT = 3
 #: Words on either side of a marker that align records.
 BEFORE, AFTER = 4, 3
@@ -178,8 +179,8 @@ def find_residue(df: DataFrame, doc_id: str, text: str) -> DataFrame:
     """(doc_id, reason) of documents that are or hold residue; reason is marker, blank, filler or page.
 
     NULL and empty texts are never residue; each stored row is judged; an empty table gives no rows; other columns are
-    ignored. The wordings of all documents are aligned: counts are partial before the exchange and a wording that is
-    in every document is spread by what its slot holds.
+    ignored. A marker that no sentence speaks about needs no other document. The wordings of the rest are aligned: counts
+    are partial before the exchange, and copies of a text count once.
     """
     rows = df.select(F.col(doc_id).alias("d"), F.col(text).alias("t")).filter(F.length(F.trim("t")) > 0)
     kind = dict(rows.dtypes)["d"]
@@ -201,22 +202,20 @@ def find_residue(df: DataFrame, doc_id: str, text: str) -> DataFrame:
                     add(i, "page")
                 else:
                     if evidence == 1:
-                        add(i, None, "page " + masked, "")
+                        add(i, None, "page " + masked, xxhash.xxh128_hexdigest(t.lower()))
                     for skeleton, held, about in Counter(markers(t)):
-                        if not skeleton and not about:
+                        if not about:
                             add(i, "marker")
                             break
-                        add(i, None, "about " * about + skeleton, held)
+                        add(i, None, "about " + skeleton, held)
             yield pa.record_batch([b.column(0).take(pa.array(at, pa.int64())), pa.array(sure, pa.string()), pa.array(wording, pa.string()), pa.array(slot, pa.string())], ["d", "reason", "wording", "slot"])
 
     # the candidates are few beside the texts; kept, so that texts are judged once
     seen = cut(rows.mapInArrow(part, f"d {kind}, reason string, wording string, slot string"))
     open_ = seen.filter(F.col("reason").isNull())
-    w = open_.groupBy("wording", "slot").agg(F.count("*").alias("n")).groupBy("wording").agg(F.sum("n").alias("n"), F.count("*").alias("forms"))
-    fixed = (F.col("forms") == 1) & (F.col("n") >= SUPPORT)
-    is_page, about = F.col("wording").startswith("page "), F.col("wording").startswith("about ")
-    judged = w.select("wording", F.when(is_page, F.col("n") >= SUPPORT).when(about, F.col("forms") >= 3).otherwise(~fixed).alias("bad"))
-    late = open_.join(judged.filter("bad"), "wording").select("d", F.when(is_page, "page").otherwise("marker").alias("reason"))
+    judged = open_.select("wording", "slot").distinct().groupBy("wording").agg(F.count("*").alias("forms")).filter(F.col("forms") >= SUPPORT)
+    is_page = F.col("wording").startswith("page ")
+    late = open_.join(judged, "wording").select("d", F.when(is_page, "page").otherwise("marker").alias("reason"))
     return (
         seen.filter(F.col("reason").isNotNull())
         .select("d", "reason")

@@ -42,3 +42,20 @@ def test_find(spark):
 @pytest.mark.parametrize("text", ["x " * 100_000, "{{ " * 20_000, "a" * 300_000])
 def test_long(text):
     assert isinstance(R.markers(text), list) and not R.filler(text + " y z w q") in (None,)
+
+
+@pytest.mark.parametrize("n", [1, 3, 8])
+def test_slot_is_residue_whatever_its_support(spark, n):
+    same = [(i, "Bài hát {{title}} qua giọng cô ca sĩ trẻ trình bày.") for i in range(n)]
+    other = [(100 + i, f"Tập số {{0}} của kênh Bến Gỗ, thu lần {i} ở nhà.") for i in range(n)]
+    df = spark.createDataFrame(same + other, "doc_id bigint, text string")
+    assert {r.doc_id: r.reason for r in R.find_residue(df, "doc_id", "text").collect()} == {i: "marker" for i, _ in same + other}
+
+
+def test_copies_are_no_evidence(spark):
+    weak = "Trang {} không tồn tại. Cô bán hoa kể lại chuyện dài về chiếc loa hỏng ở quán đầu ngõ cho cả xóm nghe."
+    copies = [(i, weak.format(7)) for i in range(5)]
+    df = spark.createDataFrame(copies, "doc_id bigint, text string")
+    assert R.page(weak.format(7))[0] == 1 and R.find_residue(df, "doc_id", "text").count() == 0
+    df = spark.createDataFrame(copies + [(10, weak.format(8)), (11, weak.format(9))], "doc_id bigint, text string")
+    assert R.find_residue(df, "doc_id", "text").count() == 7
