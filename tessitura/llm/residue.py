@@ -11,7 +11,9 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import xxhash
 from pyspark.sql import DataFrame
@@ -90,8 +92,23 @@ MARKER = regex.compile(f"(?:{VARIABLE.pattern})")
 #: What a text must hold for a variable, a blank or a null marker.
 MAY_VARY = regex.compile(r"[{}%<@$#~]|__|\[\[")
 MAY_BLANK = regex.compile(r"[\[(]|<<|__|\.\.\.[/.]|\?\?|…|undefined|NaN|null|None|nil|NULL|N/A|#REF|: ?--|/[Yy]{2}|(?:[xX]){3}|TODO|TBD|FIXME")
-#: Longest error page and longest sentence of one, in characters.
-PAGE, UNIT = 700, 200
+#: What a column's texts must hold (RE2) for an error or script message.
+MAY_FAIL = (
+    r"(?i)không tồn tại|không tìm thấy|đã bị|mã lỗi|lỗi máy chủ|quá tải|tạm ngừng|tạm ngưng|gián đoạn|bảo trì|hệ thống đang|không kết nối|mất kết nối|chưa được xử lý|tải lại|lại sau"
+    r"|không khả dụng|chế độ riêng tư|không có quyền|quyền truy cập|phiên (?:đăng|làm)|hết hạn|hết phiên|không xem được|đăng nhập lại|khắc phục|quá nhiều yêu cầu|từ chối truy cập"
+    r"|not found|bad gateway|unavailable|time-?out|forbidden|server error|bad request|unauthori|too many|gone|http|err|(?:^|[\s\p{Z}])[45]\p{Nd}\p{Nd}|could not|did not|nothing lives|page you asked"
+    r"|no longer|denied|permission|session|token|visit|link|sign in|ask an admin|wait a while|failed at|timed? ?out|connection|no response|panic|traceback|unhandled|fatal|stack trace|maintenance|try again"
+    r"|script|js|mã kịch bản|không hiển thị|không tải|khung trống|đổi trình duyệt|client-side|(?:enable|allow|turn) (?:it|on)|change the setting"
+)
+#: Lines of a stack trace; they tell neither for an error nor against it.
+TRACE = regex.compile(
+    r"^\W*(?:File \"[^\"\n]*\", line \d+|at [\w.$<>/ ]+\(|at \S+:\d+(?::\d+)?\)?$|Caused by:|\d+ more$|#\d+ +(?:0x|/|[\w.:>$-]+\()|goroutine \d+|\S+\.(?:py|js|ts|java|go|c|cc|cpp|rb|php|rs):\d+"
+    r"|[\w.$]*(?:Error|Exception)(?::|$))"
+)
+_source = regex.compile(r"^File \"[^\"\n]*\", line \d+")  # the next line is the code there
+_cited = regex.compile(r"[“\"][^”\"]*$|^[^“\"]*[”\"]")
+#: Characters for which a message speaks: a sentence up to that is judged whole, in a longer one half of that around each message.
+UNIT = 200
 
 
 def _sentence_span(text: str, a: int, b: int) -> tuple[int, int]:
@@ -131,6 +148,37 @@ def blanks(text: str) -> bool:
     return False
 
 
+def periods(ws: list[str]) -> Iterator[int]:
+    """Periods of two words or more, whatever their length, that begin with a full repeat and that nine of ten words keep."""
+    n = len(ws)
+    at = 1
+    while True:  # nearly all texts end here
+        try:
+            at = ws.index(ws[0], at + 1)
+        except ValueError:
+            return
+        if ws[at : at + 2] == ws[:2]:
+            break
+    z, left, right = [0] * (n // 3 + 1), 0, 0  # how far the words from i on equal the first ones
+    for i in range(1, n // 3 + 1):
+        k = min(right - i, z[i - left]) if i < right else 0
+        while i + k < n and ws[k] == ws[i + k]:
+            k += 1
+        if i + k > right:
+            left, right = i, i + k
+        z[i] = k
+    number: dict[str, int] = {}
+    u = np.array([number.setdefault(w, len(number)) for w in ws])
+    roots = [1]
+    for p in range(2, n // 3 + 1):
+        # beyond short ones, a multiple of a period that its words keep as well adds nothing
+        if z[p] < p or (p > 12 and any(p % q == 0 and q + z[q] >= 2 * p for q in roots)):
+            continue
+        roots.append(p)
+        if np.count_nonzero(u[p:] == u[:-p]) >= 0.9 * (n - p):
+            yield p
+
+
 def filler(text: str) -> bool:
     """Whether the body is dummy text: Latin filler, struck keys, or one filler phrase over and over."""
     ws = _word.findall(text.lower())
@@ -142,15 +190,9 @@ def filler(text: str) -> bool:
         return True
     if n >= 5 and sum(w in MASH or w.isdigit() for w in ws) >= 0.8 * n and sum(w in MASH and not w.isdigit() for w in ws) >= 0.5 * n:
         return True
-    for period in range(1, 13):
-        if n < 3 * period:
-            break
-        if ws[period : 2 * period] != ws[:period]:
-            continue
-        same = sum(ws[i] == ws[i - period] for i in range(period, n))
-        if same >= 0.9 * (n - period) and period >= 2:
-            phrase = " ".join(ws[:period])
-            return bool(FILLER_WORD.search(phrase)) or (period >= 3 and n >= 8 * period)
+    for period in periods(ws):
+        phrase = " ".join(ws[:period])
+        return bool(FILLER_WORD.search(phrase)) or (period >= 3 and n >= 8 * period)
     # filler that makes up most of a longer text
     if latin < 0.2 * n:
         return False
@@ -159,20 +201,36 @@ def filler(text: str) -> bool:
     return dummy > 0.5 * len(text)
 
 
+def _message(unit: str) -> int:
+    """How many of a unit's characters belong to error or script messages."""
+    if len(unit) <= UNIT:
+        return len(unit) * (bool(ERROR.search(unit) or SCRIPT.search(unit)) and not ABOUT.search(unit) and not _cited.search(unit))
+    n = end = 0
+    for m in sorted([*ERROR.finditer(unit), *SCRIPT.finditer(unit)], key=lambda m: m.start()):
+        a, b = max(0, m.start() - UNIT // 4), min(len(unit), m.end() + UNIT // 4)
+        if b > end and not ABOUT.search(unit, a, b) and not _cited.search(unit[a:b]):
+            n, end = n + b - max(a, end), b
+    return n
+
+
 def page(text: str) -> tuple[int, str]:
-    """(evidence, masked form) of an error page or script notice; evidence 2 stands alone, 1 needs the form repeated."""
-    if len(text) > PAGE:
-        return 0, ""
+    """(evidence, masked form) of an error page or script notice; evidence 2 stands alone, 1 needs the form repeated.
+
+    Messages are weighed against the rest of the text, whatever its length.
+    """
     units = [u.strip() for u in _sentence.split(text) if u.strip()]
-    hit = [len(u) <= UNIT and bool(ERROR.search(u) or SCRIPT.search(u)) and not ABOUT.search(u) and not regex.search(r"[“\"][^”\"]*$|^[^“\"]*[”\"]", u) for u in units]
-    real = [u for u, h in zip(units, hit) if not h and not CHROME.search(u) and len(_word.findall(u)) > 2]
-    size = lambda us: sum(len(u) for u in us)
-    if not any(hit):
+    messages = [_message(u) for u in units]
+    if not any(messages):
         return 0, ""
-    strong = size([u for u, h in zip(units, hit) if h]) >= size(real)
+    real, code = 0, False
+    for u, n in zip(units, messages):
+        aside = code or TRACE.search(u) or len(_word.findall(u)) <= 2 or (len(u) <= UNIT and CHROME.search(u))
+        real += 0 if n and len(u) <= UNIT or aside else len(u) - n
+        code = bool(_source.search(u))
+    if sum(messages) >= real:
+        return 2, ""
     masked = regex.sub(r"[A-Za-z0-9_-]*\d[A-Za-z0-9_-]*", "0", text.lower())
-    weak = len(units) <= 6 and not any(ABOUT.search(u) for u in units)
-    return (2 if strong else 1 if weak else 0), masked
+    return (0, "") if any(ABOUT.search(u) for u in units) else (1, masked)
 
 
 def find_residue(df: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -192,8 +250,9 @@ def find_residue(df: DataFrame, doc_id: str, text: str) -> DataFrame:
             def add(i, reason, w=None, s=None):
                 at.append(i), sure.append(reason), wording.append(w), slot.append(s)  # noqa: B023
 
+            may_fail = pc.match_substring_regex(b.column(1), MAY_FAIL).to_pylist()
             for i, t in enumerate(b.column(1).to_pylist()):
-                evidence, masked = page(t)
+                evidence, masked = page(t) if may_fail[i] else (0, "")
                 if filler(t):
                     add(i, "filler")
                 elif blanks(t):
@@ -202,7 +261,7 @@ def find_residue(df: DataFrame, doc_id: str, text: str) -> DataFrame:
                     add(i, "page")
                 else:
                     if evidence == 1:
-                        add(i, None, "page " + masked, xxhash.xxh128_hexdigest(t.lower()))
+                        add(i, None, "page " + xxhash.xxh128_hexdigest(masked), xxhash.xxh128_hexdigest(t.lower()))
                     for skeleton, held, about in Counter(markers(t)):
                         if not about:
                             add(i, "marker")

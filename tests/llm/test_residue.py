@@ -59,3 +59,43 @@ def test_copies_are_no_evidence(spark):
     assert R.page(weak.format(7))[0] == 1 and R.find_residue(df, "doc_id", "text").count() == 0
     df = spark.createDataFrame(copies + [(10, weak.format(8)), (11, weak.format(9))], "doc_id bigint, text string")
     assert R.find_residue(df, "doc_id", "text").count() == 7
+
+
+_TRACE = 'Unhandled exception: could not load the transcript.\nTraceback (most recent call last):\n' + "".join(
+    f'  File "/srv/app/part_{i}.py", line {i}, in handle_request\n    return self.next_step(request, depth={i}, retry=False)\n' for i in range(12)
+) + "ConnectionError: connection refused by the host"
+_LINE = "error 502 bad gateway while the proxy waited for the upstream host at node 17 of pool 3 the server did not answer in time and the request was dropped connection reset by peer please try again later or report trace id 77ab to the people who run this service"
+_PARAGRAPH = "Đây là đoạn chữ giữ chỗ cho phần lời giới thiệu của kênh nghe đài buổi tối ở bến sông. "
+
+
+@pytest.mark.parametrize("text", [_TRACE, "Hệ thống đang bảo trì, vui lòng quay lại sau. " * 40, _LINE, "không tìm thấy trang " * 60])
+def test_pages_of_any_length(text):
+    assert len(text) > R.UNIT and R.page(text)[0] == 2
+
+
+def test_real_texts_of_any_length_are_no_pages():
+    said = "nếu trước buổi phát sóng bác bán phở không tìm thấy tệp phụ đề thì chẳng ai cười không ngớt khi cô ca sĩ trẻ nhắc đến bản tin thời tiết cả xóm thấy lòng nhẹ hẳn đừng hỏi vì sao bác bán phở hẹn gặp lần sau vào đúng giờ cơm vì nhịp trống lệch nên đội biên tập phải dựng lại bài hát ru"
+    assert R.page(said)[0] < 2 and R.page("Chúng tôi hát ở bến sông cho cả xóm nghe. " * 30 + "Đường truyền bị gián đoạn.")[0] < 2
+
+
+@pytest.mark.parametrize("text,is_filler", [(_PARAGRAPH * 3, True), ("một hai ba bốn năm sáu bảy tám chín mười gió mây sông núi " * 8, True), ("một hai ba bốn năm sáu bảy tám chín mười gió mây sông núi " * 3, False)])
+def test_filler_of_any_period(text, is_filler):
+    assert R.filler(text) is is_filler
+
+
+def test_periods_are_linear():
+    assert list(R.periods(["x"] * 60_000 + [str(i) for i in range(60_000)])) == []
+
+
+def test_long_weak_pages_are_voted(spark):
+    weak = "Mã lỗi {}. " + " ".join(f"Dòng thứ {w} của tờ giấy dán trên tường bến sông vẫn còn nguyên." for w in "ab cd ef gh ij kl mn op qr st uv wx".split())
+    df = spark.createDataFrame([(i, weak.format(i)) for i in range(3)] + [(9, _TRACE), (10, _PARAGRAPH * 4)], "doc_id bigint, text string")
+    assert len(weak) > 700 and {r.doc_id: r.reason for r in R.find_residue(df, "doc_id", "text").collect()} == {0: "page", 1: "page", 2: "page", 9: "page", 10: "filler"}
+
+
+def test_prefilter_passes_messages():
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    texts = [*BAD["page"], _TRACE, _LINE, "x. 404 y", "Xin lỗi.\n503", "410 Gone"]
+    assert all(pc.match_substring_regex(pa.array(texts), R.MAY_FAIL).to_pylist())
