@@ -87,3 +87,27 @@ def test_mixture(spark):
     keys = [r.mix_key for r in m.select("mix_key").collect()]
     assert keys == sorted(keys) and m.groupBy("doc_id", "copy").count().filter("count > 1").count() == 0
     assert mixing.mix(df.limit(0), t).count() == 0
+
+
+def test_place_many_equals_one_by_one():
+    rng = np.random.default_rng(5)
+    v = rng.integers(0, 3, (6, 3))
+    v = np.unique(np.column_stack([v, v.sum(axis=1)]), axis=0)
+    times = rng.integers(1, 40, len(v))
+    want = np.array([0.8, 0.1, 0.1])[:, None] * (v * times[:, None]).sum(axis=0)[None, :]
+    got = splits.place_many(v, times, want)
+    each = np.repeat(np.arange(len(v)), times)
+    one = splits.place(v[each], want)
+    assert (got.sum(axis=1) == times).all()
+    assert np.abs((got.T @ v) - np.array([v[each][one == s].sum(axis=0) for s in range(3)])).max() <= v.max()
+
+
+def test_rare_label_keeps_its_shares_among_many_components(spark):
+    n = 60_000
+    label = F.when(F.col("id") % 2000 == 0, "rare").when(F.col("id") % 2 == 0, "x").otherwise("y")
+    df = spark.range(n).select(F.concat(F.lit("v"), "id").alias("video_id"), *[F.lit(None).cast("string").alias(c) for c in ("audio_id", "segment_id", "source_url")], label.alias("quality_label"))
+    out = splits.assign_splits(df, splits.recording_keys(), F.col("quality_label"), [("train", 0.8), ("valid", 0.1), ("test", 0.1)])
+    got = {(r.quality_label, r.split_name): r["count"] for r in out.groupBy("quality_label", "split_name").count().collect()}
+    assert [got.get(("rare", s), 0) for s in ("train", "valid", "test")] == [24, 3, 3]
+    assert all(abs(got["y", s] - 30_000 * t) <= 1 for s, t in (("train", 0.8), ("valid", 0.1), ("test", 0.1)))
+    assert splits.assign_splits(df.limit(0), splits.recording_keys(), F.col("quality_label"), [("train", 1.0)]).count() == 0
