@@ -1,14 +1,18 @@
-"""Template residue, filler, error pages and script notices.
-
-A slot that kept a variable name, a default or a blank is residue, however often its wording recurs. Where the sentence
-speaks about markers, records are aligned on the words around them: what stays is the wording, and only a slot that held
-several names is residue. Whole pages are judged by their units; a page whose masked form different texts share needs
-less evidence.
+"""Template residue, filler, error pages and script notices, found by aligning the records that share a template.
+
+Every document is cut into units (lines and sentences). What could stand in a slot (a variable, a blank, a default, a
+null marker) is taken out of its unit; the constant words that are left, and the words on either side of the slot, are
+hashed. Units with one hash are records of one template: the slot is induced where they hold different values or differ
+around it, and a record is residue where its slot kept a variable name, a default or a blank. Forms of variables learned
+from induced slots are recognised elsewhere. Error pages are aligned in the same way, unit by unit, with numbers masked:
+parts that recur on different pages make a template. Word lists are the evidence that a recurring part is an error, and
+they tell sentences that speak about markers, which are residue only where the slot truly varies. `via` says how a row
+was found: aligned, learned, repeated, or alone, where nothing in the table is of its template.
 """
 
 from __future__ import annotations
 
-from collections import Counter
+import bisect
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,12 +23,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessitura.runtime import cut
+from tessitura.runtime import cut, maybe_broadcast
 
-#: Different texts that must share a page's masked form, and different names that a slot spoken about must have held.
+#: Different units that make a template where the slot's value never varies, and rows that a weak page needs.
 SUPPORT = 3
-#: Words on either side of a marker that align records.
-BEFORE, AFTER = 4, 3
+#: Words on either side of a slot that align units whose other words differ, and at either end of a page's unit.
+SIDE, END = 2, 3
 
 # Fixed values. Variable markers: what programs replace by a value.
 VARIABLE = regex.compile(
@@ -35,6 +39,11 @@ VARIABLE = regex.compile(
     r"|<[A-Z][A-Z0-9]*(?:_[A-Z0-9]+)*>(?<=<[A-Z0-9_]{3,}>)"
     r"|(?m:^#(?:if|end|else|foreach|endif)\b[^\n]*$)"
 )
+#: Names in capitals; only what recurs counts, as captions write sounds and sections so.
+SOFT = regex.compile(r"(?<=\S )\[[A-Z][A-Z0-9_]{2,}\]|(?<![\w@#/.\-\[<{$%])[A-Z][A-Z0-9]*(?:_[A-Z0-9]+)+(?![\w\]>}%])|\[[A-Z][A-Z0-9_]{2,}\](?=,? \S)")
+#: Any other identifier between signs, two or more on either side: residue only where the slot is induced.
+WRAPPED = regex.compile(r"(?<![\w{<\[%$#@~^|\\*=&(])(?!\*+\w)[{<\[%$#@~^|\\*=&(]{2,4}\s?[A-Za-z_][\w.]{1,40}\s?[}>\])%$#@~^|\\*=&]{2,4}(?!\w)")
+FIELD = regex.compile(r"NAME|DATE|TITLE|MAIL|ADDRESS|COMPANY|CITY|COUNTRY|URL|LINK|PHONE|NUMBER|PRICE|AMOUNT|USER|CUSTOMER|CLIENT|PRODUCT|ORDER|CODE|SIGNATURE")
 # Null markers, and blanks and defaults that wait for a value.
 NULLS = r"undefined|NaN|\[object Object\]|null|None|nil|NULL|N/A|#REF!|#N/A"
 BLANK = regex.compile(
@@ -62,6 +71,8 @@ LATIN_FILLER = frozenset(
     "excepteur sint occaecat cupidatat non proident sunt culpa qui officia deserunt mollit anim id est laborum donec nunc tellus felis ornare porta vivamus "
     "vestibulum mauris pellentesque praesent integer curabitur aenean nullam fusce phasellus".split()
 )
+#: Those that no other language has as a word.
+_LATIN_ONLY = LATIN_FILLER - frozenset("do in ad ex ea ut et id sit sed non est qui sunt minim".split())
 MASH = frozenset("asdf asd qwer qwerty zxcv zxc hjkl jkl uiop test abc xyz foo bar baz 123 1234 111 aaa".split())
 FILLER_WORD = regex.compile(r"(?i)\b(?:mẫu|chữ thử|thử bố cục|bố cục|giữ chỗ|tạm thời|nội dung thử|placeholder|sample|dummy|filler|test|example text|your text|lorem|demo text)\b")
 
@@ -87,18 +98,21 @@ ABOUT = regex.compile(r"(?i)hôm qua|hôm trước|tuần trước|suốt buổi
 _sentence = regex.compile(r"(?<=[.!?…。！？।])\s+|\n+")
 _word = regex.compile(r"[\p{L}\p{M}\p{N}]+")
 _digits = regex.compile(r"\p{N}+")
-_near = regex.compile(r"[\p{L}\p{M}\p{N}]+|␟")
-MARKER = regex.compile(f"(?:{VARIABLE.pattern})")
-#: What a text must hold for a variable, a blank or a null marker.
-MAY_VARY = regex.compile(r"[{}%<@$#~]|__|\[\[")
-MAY_BLANK = regex.compile(r"[\[(]|<<|__|\.\.\.[/.]|\?\?|…|undefined|NaN|null|None|nil|NULL|N/A|#REF|: ?--|/[Yy]{2}|(?:[xX]){3}|TODO|TBD|FIXME")
+_ids = regex.compile(r"[A-Za-z0-9_-]*\d[A-Za-z0-9_-]*")
+#: What a column's texts must hold (RE2) for a variable, a blank or a null marker.
+MAY_VARY = r"[{}%<@$~\[|^]|##|==|&&|__|(?m:^#)|[A-Z]_[A-Z]"
+MAY_BLANK = r"[\[(]|<<|__|\.\.\.[/.]|\?\?|…|undefined|NaN|null|None|nil|NULL|N/A|#REF|: ?--|/[Yy]{2}|[xX]{3}|TODO|TBD|FIXME"
+#: Weak evidence of an error page in further languages and wordings; only a page that recurs counts.
+WEAK = regex.compile(
+    r"(?i)\boops\b|something went wrong|try again|erreur|introuvable|page non trouvée|fehler|nicht gefunden|no encontrad[ao]|não encontrad[ao]|errore|non trovat[ao]|ошибка|не найден|エラー|見つかりません|错误|錯誤|找不到|오류|찾을 수 없|ไม่พบ|ข้อผิดพลาด|त्रुटि"
+)
 #: What a column's texts must hold (RE2) for an error or script message.
 MAY_FAIL = (
     r"(?i)không tồn tại|không tìm thấy|đã bị|mã lỗi|lỗi máy chủ|quá tải|tạm ngừng|tạm ngưng|gián đoạn|bảo trì|hệ thống đang|không kết nối|mất kết nối|chưa được xử lý|tải lại|lại sau"
     r"|không khả dụng|chế độ riêng tư|không có quyền|quyền truy cập|phiên (?:đăng|làm)|hết hạn|hết phiên|không xem được|đăng nhập lại|khắc phục|quá nhiều yêu cầu|từ chối truy cập"
     r"|not found|bad gateway|unavailable|time-?out|forbidden|server error|bad request|unauthori|too many|gone|http|err|(?:^|[\s\p{Z}])[45]\p{Nd}\p{Nd}|could not|did not|nothing lives|page you asked"
     r"|no longer|denied|permission|session|token|visit|link|sign in|ask an admin|wait a while|failed at|timed? ?out|connection|no response|panic|traceback|unhandled|fatal|stack trace|maintenance|try again"
-    r"|script|js|mã kịch bản|không hiển thị|không tải|khung trống|đổi trình duyệt|client-side|(?:enable|allow|turn) (?:it|on)|change the setting"
+    r"|script|js|mã kịch bản|oops|went wrong|erreur|introuvable|trouvée|fehler|gefunden|encontrad|errore|trovat|ошибка|не найден|エラー|見つかりません|错误|錯誤|找不到|오류|찾을 수 없|ไม่พบ|ข้อผิดพลาด|त्रुटि|không hiển thị|không tải|khung trống|đổi trình duyệt|client-side|(?:enable|allow|turn) (?:it|on)|change the setting"
 )
 #: Lines of a stack trace; they tell neither for an error nor against it.
 TRACE = regex.compile(
@@ -111,43 +125,76 @@ _cited = regex.compile(r"[“\"][^”\"]*$|^[^“\"]*[”\"]")
 UNIT = 200
 
 
-def _sentence_span(text: str, a: int, b: int) -> tuple[int, int]:
-    """The sentence or line around a marker."""
-    start = max((m.end() for m in _sentence.finditer(text, max(0, a - 400), a)), default=max(0, a - 400))
-    m = _sentence.search(text, b, b + 400)
-    return start, m.start() if m else min(len(text), b + 400)
+def _units(text: str) -> tuple[list[int], list[int]]:
+    """Where the units of a text (lines and sentences) begin and end."""
+    begin, end = [0], []
+    for m in _sentence.finditer(text):
+        end.append(m.start())
+        begin.append(m.end())
+    return begin, [*end, len(text)]
+
+
+def _hash(*parts: str) -> int:
+    return xxhash.xxh64_intdigest("\x1f".join(parts)) - (1 << 63)
+
+
+def _aligned(unit: str, spans: list[tuple[int, int]]) -> tuple[list[str], list[int]]:
+    """The unit's words, numbers masked, with ␞ for each slot; and the slots' positions among them."""
+    words, at, i = [], [], 0
+    for a, b in spans:
+        words += _word.findall(unit[i:a])
+        at.append(len(words))
+        words.append("␞")
+        i = b
+    words += _word.findall(unit[i:])
+    return [_digits.sub("0", w.lower()) for w in words], at
 
 
-def markers(text: str) -> list[tuple[str, str, bool]]:
-    """(words around with the slot in place, what the slot holds, whether the sentence speaks about it) of variables."""
-    if not MAY_VARY.search(text):
+def _shape(value: str) -> str:
+    """The form of a variable without its name: the signs around it."""
+    return regex.sub(r"[\p{L}\p{M}\p{N}_.:\s]+", "a", value)[:12]
+
+
+def slots(text: str, vary: bool = True, blank: bool = True) -> list[tuple[str, bool, list[int], int, str, str]]:
+    """(reason, whether the sentence speaks about it, hashes that align it, hash of its unit, value, shape) of each slot.
+
+    reason is marker, blank, soft or wrapped. The hashes are of the whole unit's constant words and of the words on either side.
+    """
+    found = []
+    if vary:
+        found += [(m.start(), m.end(), "marker") for m in VARIABLE.finditer(text)] + [(m.start(), m.end(), "soft") for m in SOFT.finditer(text) if FIELD.search(m.group())]
+        found += [(m.start(), m.end(), "wrapped") for m in WRAPPED.finditer(text)]
+    if blank:
+        found += [(m.start(), m.end(), "blank") for p in (BLANK, NULL_VALUE) for m in p.finditer(text)]
+    if not found:
         return []
-    found = list(VARIABLE.finditer(text))
+    begin, end = _units(text)
+    by_unit: dict[int, list[tuple[int, int, str]]] = {}
+    for a, b, reason in sorted(found, key=lambda x: (x[0], -x[1])):
+        mine = by_unit.setdefault(bisect.bisect_right(begin, a) - 1, [])
+        if not mine or a >= mine[-1][1]:
+            mine.append((a, b, reason))
     out = []
-    for m in found:
-        a, b = _sentence_span(text, *m.span())
-        around = text[a:b]
-        if regex.fullmatch(r"\s*\{\s*[A-Za-z_][A-Za-z0-9_.]*\s*\}\s*", around):
-            continue  # a word in braces on its own line is a stage direction
-        left = _near.findall(VARIABLE.sub(" ␟ ", _digits.sub("0", text[a : m.start()])))[-BEFORE:]
-        right = _near.findall(VARIABLE.sub(" ␟ ", _digits.sub("0", text[m.end() : b])))[:AFTER]
-        skeleton = " ".join([*left, "␞", *right]).lower()
-        prose = len([w for w in left if w != "␟"]) >= 2 and len([w for w in right if w != "␟"]) >= 1
-        out.append((skeleton if prose else "", m.group(), bool(MENTION.search(VARIABLE.sub(" ", around)))))
+    for k, mine in by_unit.items():
+        lo, hi = begin[k], max(end[k], mine[-1][1])
+        unit = text[lo:hi]
+        words, at = _aligned(unit, [(a - lo, b - lo) for a, b, _ in mine])
+        rest = "".join(unit[i:j] for i, j in zip([0, *(b - lo for _, b, _ in mine)], [*(a - lo for a, _, _ in mine), len(unit)]))
+        about = bool(MENTION.search(rest))
+        whole, same = _hash("unit", *words), _hash(_digits.sub("0", unit.lower()))
+        for (a, b, reason), i in zip(mine, at):
+            if reason == "marker" and regex.fullmatch(r"\s*\{\s*[A-Za-z_][A-Za-z0-9_.]*\s*\}\s*", unit):
+                continue  # a word in braces on its own line is a stage direction
+            keys = [whole] if len(words) > len(mine) else [_hash("inside", *(w := _word.findall(unit.lower()))[:1], *w[-2:])]
+            left, right = words[max(0, i - SIDE) : i], words[i + 1 : i + 1 + SIDE]
+            if left and "␞" not in left:
+                keys.append(_hash("left", *left))
+            if right and "␞" not in right:
+                keys.append(_hash("right", *right))
+            out.append((reason, about, keys, same, text[a:b], _shape(text[a:b])))
     return out
 
 
-def blanks(text: str) -> bool:
-    """Whether a blank, a default or a null marker stands where a value belongs."""
-    if not MAY_BLANK.search(text):
-        return False
-    for m in [*BLANK.finditer(text), *NULL_VALUE.finditer(text)]:
-        a, b = _sentence_span(text, *m.span())
-        if not MENTION.search(text[a : m.start()] + " " + text[m.end() : b]):
-            return True
-    return False
-
-
 def periods(ws: list[str]) -> Iterator[int]:
     """Periods of two words or more, whatever their length, that begin with a full repeat and that nine of ten words keep."""
     n = len(ws)
@@ -179,26 +226,26 @@ def periods(ws: list[str]) -> Iterator[int]:
             yield p
 
 
-def filler(text: str) -> bool:
-    """Whether the body is dummy text: Latin filler, struck keys, or one filler phrase over and over."""
+def filler(text: str) -> str:
+    """What kind of dummy text the body is, else '': latin, keys, or the phrase that it repeats over and over."""
     ws = _word.findall(text.lower())
     n = len(ws)
     if n < 4:
-        return False
+        return ""
     latin = sum(w in LATIN_FILLER for w in ws)
     if latin >= 0.6 * n and n >= 6 and sum(w in ("lorem", "ipsum", "dolor", "amet", "velit", "tellus", "donec", "magna") for w in ws) >= 0.1 * n:
-        return True
+        return "latin"
     if n >= 5 and sum(w in MASH or w.isdigit() for w in ws) >= 0.8 * n and sum(w in MASH and not w.isdigit() for w in ws) >= 0.5 * n:
-        return True
+        return "keys"
     for period in periods(ws):
         phrase = " ".join(ws[:period])
-        return bool(FILLER_WORD.search(phrase)) or (period >= 3 and n >= 8 * period)
+        return phrase if FILLER_WORD.search(phrase) or (period >= 3 and n >= 8 * period) else ""
     # filler that makes up most of a longer text
     if latin < 0.2 * n:
-        return False
+        return ""
     units = [u for u in _sentence.split(text) if u.strip()]
     dummy = sum(len(u) for u in units if (t := [w.lower() for w in _word.findall(u)]) and len(t) >= 4 and sum(w in LATIN_FILLER for w in t) >= 0.8 * len(t))
-    return dummy > 0.5 * len(text)
+    return "latin" if dummy > 0.5 * len(text) else ""
 
 
 def _message(unit: str) -> int:
@@ -213,76 +260,118 @@ def _message(unit: str) -> int:
     return n
 
 
-def page(text: str) -> tuple[int, str]:
-    """(evidence, masked form) of an error page or script notice; evidence 2 stands alone, 1 needs the form repeated.
-
-    Messages are weighed against the rest of the text, whatever its length.
-    """
-    units = [u.strip() for u in _sentence.split(text) if u.strip()]
+def page(text: str) -> tuple[int, list[str]]:
+    """(evidence, units) of an error page or script notice: 2 if messages outweigh the rest, 1 if the page must recur,
+    0 if it is none. Messages are weighed whatever the length of the text."""
+    begin, end = _units(text)
+    units = [u for a, b in zip(begin, end) if (u := text[a:b].strip())]
     messages = [_message(u) for u in units]
     if not any(messages):
-        return 0, ""
+        hint = sum(len(u) for u in units if WEAK.search(u) and not ABOUT.search(u))
+        return (1, units) if hint and 2 * hint >= sum(map(len, units)) else (0, [])
     real, code = 0, False
     for u, n in zip(units, messages):
         aside = code or TRACE.search(u) or len(_word.findall(u)) <= 2 or (len(u) <= UNIT and CHROME.search(u))
         real += 0 if n and len(u) <= UNIT or aside else len(u) - n
         code = bool(_source.search(u))
     if sum(messages) >= real:
-        return 2, ""
-    masked = regex.sub(r"[A-Za-z0-9_-]*\d[A-Za-z0-9_-]*", "0", text.lower())
-    return (0, "") if any(ABOUT.search(u) for u in units) else (1, masked)
+        return 2, [u for u, n in zip(units, messages) if n]
+    return (0, []) if any(ABOUT.search(u) for u in units) else (1, units)
+
+
+def _page_keys(units: list[str]) -> list[int]:
+    """Hashes that align the units of pages: their words with numbers masked, whole, and at either end."""
+    out = set()
+    for u in units:
+        w = [_digits.sub("0", x) for x in _word.findall(_ids.sub("0", u.lower()))]
+        if len(w) > 1:
+            out |= {_hash("page", *w), _hash("head", *w[:END]), _hash("tail", *w[-END:])}
+    return sorted(out)
+
+
+def _may_fill(low: str) -> bool:
+    """Whether a lower-cased text can be filler: its first two words come again, or it has words of fillers."""
+    first = low.split(None, 2)[:2]
+    return (len(first) == 2 and low.count(first[1].strip(".,;:!?…")) > 2 and low.count(first[0]) > 2) or not _LATIN_ONLY.isdisjoint(low.split()) or not MASH.isdisjoint(low.split())
+
+
+#: What makes a row of each need residue, from the counts of its keys.
+_NEEDS = {
+    "slot": "lo != hi or n_units >= {s}",
+    "about": "lo != hi and n_units >= {s}",
+    "soft": "n_rows >= {s}",
+    "page": "n_units >= 2",
+    "form": "n_units >= {s}",
+    "whole": "n_rows >= {s}",
+    "filler": "n_units >= 2",
+}
 
 
 def find_residue(df: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(doc_id, reason) of documents that are or hold residue; reason is marker, blank, filler or page.
+    """(doc_id, reason, via) of documents that are or hold residue; reason is marker, blank, filler or page.
 
     NULL and empty texts are never residue; each stored row is judged; an empty table gives no rows; other columns are
-    ignored. A marker that no sentence speaks about needs no other document. The wordings of the rest are aligned: counts
-    are partial before the exchange, and copies of a text count once.
+    ignored. Counts are partial before the exchange, and copies of a unit count once, so that neither hot templates nor
+    copies gather in a task.
     """
     rows = df.select(F.col(doc_id).alias("d"), F.col(text).alias("t")).filter(F.length(F.trim("t")) > 0)
     kind = dict(rows.dtypes)["d"]
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["reason", "need", "sure", "key", "unit", "value", "shape"]
+        types = [pa.string(), pa.string(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.string()]
+
+        def judge(t: str, fail: bool, vary: bool, blank: bool) -> list[tuple]:
+            low = t.lower()
+            whole = _hash(_ids.sub("0", low))
+            if _may_fill(low) and (phrase := filler(t)):
+                return [("filler", "filler", True, _hash("filler", phrase), whole, 0, None)]
+            found = slots(t, vary, blank) if vary or blank else []
+            if gaps := [x for x in found if x[0] == "blank" and not x[1]]:
+                return [("blank", "slot", True, k, unit, _hash(value), shape) for _, _, keys, unit, value, shape in gaps for k in keys]
+            evidence, units = page(t) if fail else (0, [])
+            if evidence == 2:
+                return [("page", "page", True, k, whole, 0, None) for k in _page_keys(units) or [whole]]
+            out = []
+            if evidence == 1:
+                out.append(("page", "form" if len(units) > 1 and any(map(_message, units)) else "whole", False, _hash("form", _ids.sub("0", low)), _hash(low), 0, None))
+            for reason, about, keys, unit, value, shape in found:
+                if reason == "soft" and not about:
+                    out += [("marker", "soft", False, k, unit, _hash(value), None) for k in keys]
+                elif reason == "wrapped":
+                    out += [("marker", "about" if about else "slot", False, k, unit, _hash(value), None) for k in keys]
+                elif reason == "marker":
+                    out += [("marker", "about" if about else "slot", not about, k, unit, _hash(value), shape) for k in keys]
+            return out
+
         for b in batches:
-            at, sure, wording, slot = [], [], [], []
-
-            def add(i, reason, w=None, s=None):
-                at.append(i), sure.append(reason), wording.append(w), slot.append(s)  # noqa: B023
-
-            may_fail = pc.match_substring_regex(b.column(1), MAY_FAIL).to_pylist()
-            for i, t in enumerate(b.column(1).to_pylist()):
-                evidence, masked = page(t) if may_fail[i] else (0, "")
-                if filler(t):
-                    add(i, "filler")
-                elif blanks(t):
-                    add(i, "blank")
-                elif evidence == 2:
-                    add(i, "page")
-                else:
-                    if evidence == 1:
-                        add(i, None, "page " + xxhash.xxh128_hexdigest(masked), xxhash.xxh128_hexdigest(t.lower()))
-                    for skeleton, held, about in Counter(markers(t)):
-                        if not about:
-                            add(i, "marker")
-                            break
-                        add(i, None, "about " + skeleton, held)
-            yield pa.record_batch([b.column(0).take(pa.array(at, pa.int64())), pa.array(sure, pa.string()), pa.array(wording, pa.string()), pa.array(slot, pa.string())], ["d", "reason", "wording", "slot"])
+            d = b.column(1).dictionary_encode()  # copies in a batch are judged once
+            texts = d.dictionary
+            fail, vary, blank = (pc.match_substring_regex(texts, p).to_pylist() for p in (MAY_FAIL, MAY_VARY, MAY_BLANK))
+            judged = [judge(*x) for x in zip(texts.to_pylist(), fail, vary, blank)]
+            of = d.indices.to_pylist()
+            at = [i for i, j in enumerate(of) for _ in judged[j]]
+            flat = [r for j in of for r in judged[j]]
+            columns = zip(*flat) if flat else [[]] * len(names)
+            yield pa.record_batch([b.column(0).take(pa.array(at, pa.int64())), *(pa.array(c, k) for c, k in zip(columns, types))], ["d", *names])
 
     # the candidates are few beside the texts; kept, so that texts are judged once
-    seen = cut(rows.mapInArrow(part, f"d {kind}, reason string, wording string, slot string"))
-    open_ = seen.filter(F.col("reason").isNull())
-    judged = open_.select("wording", "slot").distinct().groupBy("wording").agg(F.count("*").alias("forms")).filter(F.col("forms") >= SUPPORT)
-    is_page = F.col("wording").startswith("page ")
-    late = open_.join(judged, "wording").select("d", F.when(is_page, "page").otherwise("marker").alias("reason"))
-    return (
-        seen.filter(F.col("reason").isNotNull())
-        .select("d", "reason")
-        .unionByName(late)
-        .groupBy("d")
-        .agg(F.min("reason").alias("reason"))
-        .select(F.col("d").alias(doc_id), "reason")
+    seen = cut(rows.mapInArrow(part, f"d {kind}, reason string, need string, sure boolean, key bigint, unit bigint, value bigint, shape string"))
+    units = seen.groupBy("key", "unit").agg(F.min("value").alias("lo"), F.max("value").alias("hi"), F.count_distinct("d").alias("n_rows"))
+    keys = units.groupBy("key").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.count("*").alias("n_units"), F.sum("n_rows").alias("n_rows"))
+    held = F.lit(False)
+    for need, rule in _NEEDS.items():
+        held = held | ((F.col("need") == need) & F.expr(rule.format(s=SUPPORT)))
+    known = seen.join(maybe_broadcast(keys), "key").withColumn("held", held)
+    learned = known.filter(F.col("held") & (F.col("need") == "slot") & (F.col("reason") == "marker")).groupBy("shape").agg((F.min("value") != F.max("value")).alias("learned")).filter("learned")
+    via = (
+        F.when(F.col("held"), F.when(F.col("need").isin("slot", "about"), "aligned").otherwise("repeated"))
+        .when(F.col("sure") & F.col("learned"), "learned")
+        .when(F.col("sure"), "zalone")
     )
+    out = known.join(maybe_broadcast(learned), "shape", "left").withColumn("via", via).filter(F.col("via").isNotNull())
+    best = out.groupBy("d").agg(F.min("reason").alias("reason"), F.min("via").alias("via"))
+    return best.select(F.col("d").alias(doc_id), "reason", F.regexp_replace("via", "^z", "").alias("via"))
 
 
 def without_residue(df: DataFrame, doc_id: str, text: str) -> DataFrame:
