@@ -99,21 +99,23 @@ _sentence = regex.compile(r"(?<=[.!?…。！？।])\s+|\n+")
 _word = regex.compile(r"[\p{L}\p{M}\p{N}]+")
 _digits = regex.compile(r"\p{N}+")
 _ids = regex.compile(r"[A-Za-z0-9_-]*\d[A-Za-z0-9_-]*")
-#: What a column's texts must hold (RE2) for a variable, a blank or a null marker.
-MAY_VARY = r"[{}%<@$~\[|^]|##|==|&&|__|(?m:^#)|[A-Z]_[A-Z]"
-MAY_BLANK = r"[\[(]|<<|__|\.\.\.[/.]|\?\?|…|undefined|NaN|null|None|nil|NULL|N/A|#REF|: ?--|/[Yy]{2}|[xX]{3}|TODO|TBD|FIXME"
+#: What a column's texts must hold (RE2, which has no look-around) for a variable, a blank or a null marker.
+MAY_VARY = (
+    r"\{\{|\{%|<%|[#$]\{|\[\[|\{\s*(?:\d{1,2}|[A-Za-z_][A-Za-z0-9_.]*)\s*\}|%(?:\d+\$)?[sd]|%\(|%%[A-Za-z_]|@@[A-Za-z_]|\$\$[A-Za-z_]|##[A-Za-z_]|__[A-Za-z]|~[A-Za-z_][\w.]*~"
+    r"|<[A-Z][A-Z0-9_]+>|(?m:^#(?:if|end|else|foreach))|[A-Z]_[A-Z]|\[[A-Z][A-Z0-9_]{2,}\]|[{<\[%$#@~^|\\*=&(]{2}\s?[A-Za-z_][\w.]+\s?[}>\])%$#@~^|\\*=&]{2}"
+)
+MAY_BLANK = (
+    r"[\[<(]\s*(?i:(?:vui lòng\s+)?(?:điền|chèn|thêm|nhập|insert|enter|add|fill|type|put|your|to be))|\[\s*(?i:mã|tên|họ|ngày|địa chỉ|số|name|date|title|link|url)"
+    r"|\((?i:tên|chưa có|trống|to be|tba|tbd)|___|_:_|\.\.\./|:\s?\.{4}|\.{8}|:\s?\?\?|[“\"]…|(?i:dd/mm|mm/dd)|:\s?(?i:xxx)|TODO|TBD|FIXME|undefined|NaN|null|None|nil|NULL|N/A|#REF|\[object|:\s*--|\(--"
+)
 #: Weak evidence of an error page in further languages and wordings; only a page that recurs counts.
 WEAK = regex.compile(
     r"(?i)\boops\b|something went wrong|try again|erreur|introuvable|page non trouvée|fehler|nicht gefunden|no encontrad[ao]|não encontrad[ao]|errore|non trovat[ao]|ошибка|не найден|エラー|見つかりません|错误|錯誤|找不到|오류|찾을 수 없|ไม่พบ|ข้อผิดพลาด|त्रुटि"
 )
-#: What a column's texts must hold (RE2) for an error or script message.
-MAY_FAIL = (
-    r"(?i)không tồn tại|không tìm thấy|đã bị|mã lỗi|lỗi máy chủ|quá tải|tạm ngừng|tạm ngưng|gián đoạn|bảo trì|hệ thống đang|không kết nối|mất kết nối|chưa được xử lý|tải lại|lại sau"
-    r"|không khả dụng|chế độ riêng tư|không có quyền|quyền truy cập|phiên (?:đăng|làm)|hết hạn|hết phiên|không xem được|đăng nhập lại|khắc phục|quá nhiều yêu cầu|từ chối truy cập"
-    r"|not found|bad gateway|unavailable|time-?out|forbidden|server error|bad request|unauthori|too many|gone|http|err|(?:^|[\s\p{Z}])[45]\p{Nd}\p{Nd}|could not|did not|nothing lives|page you asked"
-    r"|no longer|denied|permission|session|token|visit|link|sign in|ask an admin|wait a while|failed at|timed? ?out|connection|no response|panic|traceback|unhandled|fatal|stack trace|maintenance|try again"
-    r"|script|js|mã kịch bản|oops|went wrong|erreur|introuvable|trouvée|fehler|gefunden|encontrad|errore|trovat|ошибка|не найден|エラー|見つかりません|错误|錯誤|找不到|오류|찾을 수 없|ไม่พบ|ข้อผิดพลาด|त्रुटि|không hiển thị|không tải|khung trống|đổi trình duyệt|client-side|(?:enable|allow|turn) (?:it|on)|change the setting"
-)
+#: What a column's texts must hold (RE2) for an error or script message: the patterns themselves, freed of what RE2 reads
+#: otherwise; they may begin any unit.
+_begin = r"(?:^|\n|[.!?…。！？।]\s)\s*"
+MAY_FAIL = "(?i)" + "|".join(regex.sub(r"(?<!\[)\^", lambda _: _begin, p.pattern.removeprefix("(?i)").replace(r"\b", "")) for p in (ERROR, SCRIPT, WEAK))
 #: Lines of a stack trace; they tell neither for an error nor against it.
 TRACE = regex.compile(
     r"^\W*(?:File \"[^\"\n]*\", line \d+|at [\w.$<>/ ]+\(|at \S+:\d+(?::\d+)?\)?$|Caused by:|\d+ more$|#\d+ +(?:0x|/|[\w.:>$-]+\()|goroutine \d+|\S+\.(?:py|js|ts|java|go|c|cc|cpp|rb|php|rs):\d+"
@@ -291,8 +293,8 @@ def _page_keys(units: list[str]) -> list[int]:
 
 def _may_fill(low: str) -> bool:
     """Whether a lower-cased text can be filler: its first two words come again, or it has words of fillers."""
-    first = low.split(None, 2)[:2]
-    return (len(first) == 2 and low.count(first[1].strip(".,;:!?…")) > 2 and low.count(first[0]) > 2) or not _LATIN_ONLY.isdisjoint(low.split()) or not MASH.isdisjoint(low.split())
+    ws = low.split()
+    return (len(ws) > 3 and low.count(ws[0]) > 2 and low.count(ws[1].strip(".,;:!?…")) > 2) or not _LATIN_ONLY.isdisjoint(ws) or not MASH.isdisjoint(ws)
 
 
 #: What makes a row of each need residue, from the counts of its keys.
@@ -323,14 +325,14 @@ def find_residue(df: DataFrame, doc_id: str, text: str) -> DataFrame:
 
         def judge(t: str, fail: bool, vary: bool, blank: bool) -> list[tuple]:
             low = t.lower()
-            whole = _hash(_ids.sub("0", low))
             if _may_fill(low) and (phrase := filler(t)):
-                return [("filler", "filler", True, _hash("filler", phrase), whole, 0, None)]
+                return [("filler", "filler", True, _hash("filler", phrase), _hash(low), 0, None)]
             found = slots(t, vary, blank) if vary or blank else []
             if gaps := [x for x in found if x[0] == "blank" and not x[1]]:
                 return [("blank", "slot", True, k, unit, _hash(value), shape) for _, _, keys, unit, value, shape in gaps for k in keys]
             evidence, units = page(t) if fail else (0, [])
             if evidence == 2:
+                whole = _hash(_ids.sub("0", low))
                 return [("page", "page", True, k, whole, 0, None) for k in _page_keys(units) or [whole]]
             out = []
             if evidence == 1:
