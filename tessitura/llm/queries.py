@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from tessitura.llm import canonical, leaks, mixing, mojibake, residue, runs, sentences, splits
 from tessitura.runtime import table
 
+#: Splits that can be told apart; more raise an error.
+MAX_SPLITS = 1_000
+
 
 def _cue_runs(spark: SparkSession, d: str, least: int) -> DataFrame:
     cues = table(spark, d, "transcript_cues")
@@ -55,8 +58,15 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return pairs.select(F.col("a").alias("video_a"), F.col("b").alias("video_b"))
 
 
+def p5_groups(spark: SparkSession, d: str) -> DataFrame:
+    return splits.groups(table(spark, d, "segments"), splits.recording_keys()).select(F.col("id").alias("video_id"), F.col("group_id").alias("group_video"))
+
+
 def _split(spark: SparkSession, d: str) -> DataFrame:
-    targets = [(r["split_name"], r["target_share"]) for r in table(spark, d, "split_targets").orderBy("split_name").limit(1000).collect()]
+    named = table(spark, d, "split_targets").filter(F.col("target_share") > 0).orderBy("split_name").limit(MAX_SPLITS + 1).collect()
+    if len(named) > MAX_SPLITS:
+        raise ValueError(f"more than {MAX_SPLITS} splits")
+    targets = [(r["split_name"], r["target_share"]) for r in named]
     return splits.assign_splits(table(spark, d, "segments"), splits.recording_keys(), F.col("quality_label"), targets)
 
 
@@ -116,6 +126,7 @@ QUERIES = {
     "p4_found": p4_found,
     "p4_restored": p4_restored,
     "p5_found": p5_found,
+    "p5_groups": p5_groups,
     "p5_splits": p5_splits,
     "p5_shares": p5_shares,
     "p6_found": p6_found,
