@@ -114,7 +114,7 @@ def test_many_labels_and_coarse_classes(spark, monkeypatch):
     rng = random.Random(8)
     data = [(f"v{i // 4}", None, None, None, f"label {rng.randint(0, 59)}", 1) for i in range(12_000)]
     df = spark.createDataFrame(data, COLS)
-    for most, near in ((50_000, 1), (200, 20)):
+    for most, near in ((50_000, 2), (200, 20)):
         monkeypatch.setattr(splits, "MAX_CLASSES", most)
         out = splits.assign_splits(df, splits.recording_keys(), F.col("quality_label"), [("train", 0.8), ("valid", 0.1), ("test", 0.1)])
         got = {(r.quality_label, r.split_name): r["count"] for r in out.groupBy("quality_label", "split_name").count().collect()}
