@@ -1,23 +1,30 @@
 """Text that looks the same brought to one form, and texts that hold forms other than the ordinary one.
 
 Method: compatibility normalisation in composed form, full case folding, mapped white space and removal of
-default-ignorable characters, once a distinct value. Look-alike letters of another script are mapped within words of
-the Latin script. What belongs to its script or emoji (joiners in Persian, Indic and emoji sequences, Thai SARA AM,
-full-width punctuation beside ideographs) isn't a different form.
+default-ignorable characters, once a distinct value of a batch. ordinary() is the part of it that keeps what reads
+otherwise (case, ½, ², ™); a text is in another form where its ordinary form isn't the text. canonical() folds the
+ordinary form. Look-alike letters of another script are mapped within words of the Latin script, by the table of
+confusable characters in the ICU library that Spark brings along. What belongs to its script or emoji (joiners in
+Persian, Indic and emoji sequences, Thai SARA AM, full-width punctuation beside ideographs) isn't a different form.
 """
 
 from __future__ import annotations
 
+import functools
 import unicodedata
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Letters of other scripts that look like a Latin letter, in natural order.
+from tessitura.llm import codepoints as cp
+
+# Letters that look like a Latin letter, in natural order; what is at hand where no session is. Letters of
+# other scripts come from confusables().
 CYRILLIC = dict(zip("АВЕЅІЈКМНОРСТУХавеѕіјкмнорсԁтухһԛԝѡ", "ABESIJKMHOPCTYXaвesijkмнopcdтyxhqwω"))
 CYRILLIC = {k: v for k, v in CYRILLIC.items() if v.isascii()}
 GREEK = dict(zip("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧαινορυ", "ABEZHIKMNOPTYXaivopu"))
@@ -48,11 +55,12 @@ _belongs = regex.compile(
     rf"|(?<=\U0001F3F4[\U000e0020-\U000e007e]*)[\U000e0020-\U000e007f]"
     r"|(?<=[\p{Arabic}\p{Hebrew}][^\p{L}]*)[\u200e\u200f\u061c\u202a-\u202e\u2066-\u2069]|[\u200e\u200f\u061c\u202a-\u202e\u2066-\u2069](?=[^\p{L}]*[\p{Arabic}\p{Hebrew}])"
 )
-#: A letter with marks that compose, or marks that stand for other marks.
-_marks = regex.compile(r"[\p{Latin}\p{Greek}\p{Cyrillic}\p{Hiragana}\p{Katakana}]\p{Mn}+|[\u0340\u0341\u0343\u0344]|[ᄀ-ᄒ][ᅡ-ᅵ][ᆨ-ᇂ]?")
+#: A letter with marks that may compose, marks that stand for other marks, and jamo.
+_marks = regex.compile(r"\p{L}\p{M}+|[\u0340\u0341\u0343\u0344]|[ᄀ-ᄒ][ᅡ-ᅵ][ᆨ-ᇂ]?")
+#: Full-width spaces and separators of lines where no ideograph or full-width sign stands beside them.
+_wide_space = regex.compile(r"(?<![\p{Han}\p{Hiragana}\p{Katakana}\u3000-\u303f\uff00-\uffef])\u3000(?![\p{Han}\p{Hiragana}\p{Katakana}\u3000-\u303f\uff00-\uffef])")
 _word = regex.compile(r"[\p{L}\p{M}\p{N}]+")
 _latin = regex.compile(r"\p{Latin}")
-_other = regex.compile(r"[\p{Cyrillic}\p{Greek}\p{Armenian}ɑɡɩ]")
 _eth = regex.compile(r"[ÐƉ]")
 
 
@@ -68,58 +76,90 @@ def _compatible(c: str) -> bool:
 
 
 OTHER_FORMS = "".join(c for c in map(chr, (*range(0x2000, 0x3400), *range(0xF900, 0x10000), *range(0x1D400, 0x1D800), *range(0x1EE00, 0x1EF00), 0x17F)) if _compatible(c))
-_forms = regex.compile(f"[{regex.escape(OTHER_FORMS)}]")
 #: A text without any of these (Java and Python) is in the ordinary form.
 MAY_DIFFER = r"[^\x00-\x7F]"
-
-
-def _look_alikes(text: str) -> list[tuple[int, int]]:
-    """Spans of letters that another script's letters stand in for."""
+_other_form = {ord(c): unicodedata.normalize("NFKC", c) for c in OTHER_FORMS}
+
+
+@functools.lru_cache(maxsize=1)
+def confusables(spark: SparkSession) -> dict[str, str]:
+    """Letters of other alphabets that Unicode's table of confusables takes for an ASCII letter, of the same case where
+    there is one."""
+    checker = spark._jvm.com.ibm.icu.text.SpoofChecker.Builder().build()
+    plain: dict[str, list[str]] = {}
+    for c in map(chr, range(ord("A"), ord("z") + 1)):
+        if c.isalpha():
+            plain.setdefault(checker.getSkeleton(c), []).append(c)
+    letters = [c for c in map(chr, range(0x370, 0x1F000)) if unicodedata.category(c) in ("Lu", "Ll") or "ꓐ" <= c <= "ꓽ"]
+    letters = [c for c in letters if regex.match(r"[^\p{Latin}\p{Common}]", c)]
+    skeletons = checker.getSkeleton("\n".join(letters)).split("\n")
+    like = {c: plain[s] for c, s in zip(letters, skeletons) if s in plain}
+    return LOOKS | {c: next((x for x in of if x.isupper() == c.isupper()), of[0]) for c, of in like.items()}
+
+
+def _look_alikes(text: str, looks: dict[str, str]) -> list[int]:
+    """Places of letters that another script's letters stand in for."""
     out = []
-    eth = [m for m in _eth.finditer(text)]
-    for m in eth:
+    for m in _eth.finditer(text):
         # an eth belongs to Icelandic and its kin, which never begin a word with it beside Vietnamese letters
         w = next((x for x in _word.finditer(text) if x.start() <= m.start() < x.end()), None)
         if w is None or not regex.search(r"[þðæøöǫɖɛɔƒŋʋɣ]", w.group().lower().replace("ð", "", 1) if m.group() == "Ð" and w.start() == m.start() else w.group()[1:]):
-            out.append(m.span())
-    if not _other.search(text):
+            out.append(m.start())
+    if looks.keys().isdisjoint(text):
         return out
-    words = [m for m in _word.finditer(text)]
-    own = {}  # scripts that some word is truly written in: it has a letter that looks like no Latin one
+    words = list(_word.finditer(text))
+    # whether some word is truly written in another script: it has a letter that looks like no Latin one
+    own = any(not _latin.search(w := m.group()) and any(c.isalpha() and c not in looks and unicodedata.bidirectional(c) == "L" and (c.isupper() or c.islower()) for c in unicodedata.normalize("NFC", w)) for m in words)
     for m in words:
         w = m.group()
-        if not _latin.search(w):
-            for name in ("Cyrillic", "Greek", "Armenian"):
-                if any(regex.match(rf"\p{{{name}}}", c) and c not in LOOKS for c in unicodedata.normalize("NFC", w)):
-                    own[name] = True
-    for m in words:
-        w = m.group()
-        odd = [i for i, c in enumerate(w) if c in LOOKS]
+        odd = [i for i, c in enumerate(w) if c in looks]
         if not odd:
             continue
         mixed = bool(_latin.search(w)) or bool(regex.fullmatch(r"\p{N}+.*|.*\p{N}", w)) and not own
-        alone = all(c in LOOKS or not c.isalpha() for c in w) and not own and bool(_latin.search(text))
+        alone = all(c in looks or not c.isalpha() for c in w) and not own and bool(_latin.search(text))
         if mixed or alone:
-            out += [(m.start() + i, m.start() + i + 1) for i in odd]
+            out += [m.start() + i for i in odd]
     return out
 
 
-def differs(text: str | None) -> bool:
-    """Whether a text has a character in another form than the ordinary one that reads the same."""
+@functools.lru_cache(maxsize=2)
+def _open(letters: str) -> np.ndarray:
+    """Truth table of the characters that ordinary() may change; other characters never are."""
+    t = cp.category("M") | cp.table("".join(c for c in (*letters, *OTHER_FORMS, *LATIN) if ord(c) < cp.PLANE))
+    for pattern in (_space, _hidden, _hyphen, regex.compile("[ᄀ-ᇿ\u3000]")):
+        t = t | cp.table(test=lambda c: pattern.match(c) is not None)
+    return t
+
+
+def may_change(column: pa.Array, looks: dict[str, str]) -> np.ndarray:
+    """Which texts of a column hold a character that ordinary() may change."""
+    u, begin = cp.points(column)
+    return cp.any_in(cp.look(_open("".join(looks)), u, True), begin)
+
+
+def ordinary(text: str | None, looks: dict[str, str] = LOOKS) -> str | None:
+    """The text with every character in its ordinary form, where that reads the same; NULL stays NULL."""
     if not text or text.isascii():
-        return False
-    if _space.search(text) or _hyphen.search(text) or _forms.search(text):
-        return True
-    if _hidden.search(text) and _hidden.search(_belongs.sub("", text)):
-        return True
-    for m in _marks.finditer(text):
-        if unicodedata.normalize("NFC", m.group()) != m.group():
-            return True
-    return bool(_look_alikes(text))
+        return text
+    if at := _look_alikes(text, looks):
+        chars = list(text)
+        for i in at:
+            chars[i] = LATIN.get(chars[i]) or looks.get(chars[i], chars[i])
+        text = "".join(chars)
+    if _hidden.search(text):
+        keep = {m.start() for m in _belongs.finditer(text)}
+        text = _hidden.sub(lambda m: m.group() if m.start() in keep else "", text)
+    text = _hyphen.sub("-", _wide_space.sub(" ", _space.sub(" ", text))).translate(_other_form)
+    return _marks.sub(lambda m: x if len(x := unicodedata.normalize("NFC", m.group())) < len(m.group()) or not m.group()[0].isalpha() else m.group(), text)
+
+
+def differs(text: str | None, looks: dict[str, str] = LOOKS) -> bool:
+    """Whether a text has a character in another form than the ordinary one that reads the same."""
+    return ordinary(text, looks) != text
 
 
-def canonical(text: str | None) -> str | None:
-    """One form for comparison: NFKC, case folded, look-alikes mapped, white space single, ignorable characters gone.
+def canonical(text: str | None, looks: dict[str, str] = LOOKS) -> str | None:
+    """One form for comparison: the ordinary form in NFKC, case folded, white space single, ignorable characters gone.
 
     NULL stays NULL; '' stays ''.
     """
@@ -127,16 +167,7 @@ def canonical(text: str | None) -> str | None:
         return text
     if text.isascii():
         return " ".join(text.casefold().split())
-    spans = _look_alikes(text)
-    if spans:
-        chars = list(text)
-        for a, _ in spans:
-            chars[a] = LATIN.get(chars[a]) or LOOKS.get(chars[a], chars[a])
-        text = "".join(chars)
-    keep = {m.start() for m in _belongs.finditer(text)}
-    text = _hidden.sub(lambda m: m.group() if m.start() in keep else "", text)
-    text = _hyphen.sub("-", text)
-    text = unicodedata.normalize("NFKC", unicodedata.normalize("NFKC", text).casefold())
+    text = unicodedata.normalize("NFKC", unicodedata.normalize("NFKC", ordinary(text, looks)).casefold())
     return " ".join(text.split())
 
 
@@ -146,16 +177,18 @@ def _per_distinct(column: pa.ChunkedArray | pa.Array, f, kind: pa.DataType) -> p
 
 
 def different_forms(df: DataFrame, key: str, fields: list[str]) -> DataFrame:
-    """(key, field) of each text that differs(); each stored row counts, NULL, empty and plain texts never do.
+    """(key, field) of each text that isn't its ordinary form; each stored row counts, NULL, empty and plain texts never do.
 
     An empty table gives no rows; other columns are ignored.
     """
+    looks = confusables(df.sparkSession)
     long = df.select(F.col(key).alias("k"), F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("t")) for f in fields])).alias("x"))
     long = long.select("k", "x.field", "x.t").filter(F.col("t").rlike(MAY_DIFFER))
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield b.filter(_per_distinct(b.column(2), differs, pa.bool_())).select([0, 1])
+            b = b.filter(pa.array(may_change(b.column(2), looks)))
+            yield b.filter(_per_distinct(b.column(2), lambda t: differs(t, looks), pa.bool_())).select([0, 1])
 
     return long.mapInArrow(part, f"k {dict(long.dtypes)['k']}, field string").select(F.col("k").alias(key), "field")
 
@@ -163,12 +196,14 @@ def different_forms(df: DataFrame, key: str, fields: list[str]) -> DataFrame:
 def canonical_columns(df: DataFrame, fields: list[str], suffix: str = "_canonical") -> DataFrame:
     """df with a column of the one form for each field; all rows and other columns stay as they are."""
 
+    looks = confusables(df.sparkSession)
+
     @F.pandas_udf("string")
     def one(s):
         import pandas as pd
 
         codes, values = pd.factorize(s)
-        done = [canonical(v) for v in values]
+        done = [canonical(v, looks) for v in values]
         return pd.Series([done[c] if c >= 0 else None for c in codes], dtype=object)
 
     return df.withColumns({f + suffix: one(F.col(f)) for f in fields})
