@@ -7,9 +7,9 @@ import functools
 import regex
 
 #: The single-byte encodings whose images are searched, in natural order.
-SINGLE = ("cp1252", "cp1250", "cp1251", "cp1258", "mac_roman", "cp437", "cp850", "koi8_r", "iso8859_2", "iso8859_15", "cp874")
+SINGLE = ("cp1252", "cp1250", "cp1251", "cp1258", "mac_roman", "cp437", "cp850", "koi8_r", "iso8859_2", "iso8859_15", "cp874", "cp1253", "cp1254", "cp1256", "cp1257")
 #: The multi-byte encodings tried on runs of characters beyond ASCII.
-MULTI = ("gb18030", "big5", "cp932", "cp949")
+MULTI = ("gb18030", "big5", "cp932", "cp949", "utf-16-le", "utf-16-be")
 
 
 @functools.lru_cache(maxsize=None)
@@ -30,6 +30,12 @@ def _any(chars: list[str]) -> str:
     return "[" + "".join(map(regex.escape, sorted(chars))) + "]"
 
 
+def image(char: str, codec: str) -> str:
+    """How the UTF-8 bytes of a character show under an encoding."""
+    of = {b: c for c, b in byte_of(codec).items()}
+    return "".join(of[b] if b > 127 else chr(b) for b in char.encode())
+
+
 @functools.lru_cache(maxsize=None)
 def sequence(codec: str) -> regex.Pattern:
     """Images of whole UTF-8 sequences; U+FFFD stands for a byte that was lost."""

@@ -35,20 +35,20 @@ def p4_restored(spark: SparkSession, d: str) -> DataFrame:
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     cues, units = table(spark, d, "transcript_cues"), table(spark, d, "sentence_units")
-    sent = spark.sparkContext.broadcast(mojibake.train(cues, "text"))
+    sent = spark.sparkContext.broadcast(mojibake.fit(cues, "text"))
 
     def garbled():
-        many = mojibake.repairer(sent.value)
+        many = mojibake.repairer(*sent.value)
         return lambda texts, odd: many([t if o else None for t, o in zip(texts, odd)])[0]
 
-    of_units = sentences.sentence_ends(units, "unit_id", "text").select(F.lit("unit").alias("src"), F.col("unit_id").alias("row_id"), "end_pos")
+    of_units = sentences.sentence_ends(units, "unit_id", "text", lang="lang").select(F.lit("unit").alias("src"), F.col("unit_id").alias("row_id"), "end_pos")
     of_cues = sentences.sentence_ends(cues, "cue_id", "text", garbled).select(F.lit("cue").alias("src"), F.col("cue_id").alias("row_id"), "end_pos")
     return of_units.unionByName(of_cues)
 
 
 def p2_sentences(spark: SparkSession, d: str) -> DataFrame:
     cues, units = table(spark, d, "transcript_cues"), table(spark, d, "sentence_units")
-    of_units = sentences.sentence_units(units, "unit_id", "text").select(F.lit("unit").alias("src"), F.col("unit_id").alias("row_id"), "sentence_idx", "sentence")
+    of_units = sentences.sentence_units(units, "unit_id", "text", lang="lang").select(F.lit("unit").alias("src"), F.col("unit_id").alias("row_id"), "sentence_idx", "sentence")
     of_cues = sentences.sentence_units(cues, "cue_id", "text").select(F.lit("cue").alias("src"), F.col("cue_id").alias("row_id"), "sentence_idx", "sentence")
     return of_units.unionByName(of_cues)
 
