@@ -2,8 +2,9 @@
 
 Events are canonicalised so that near-identical neighbours share a value; a run is then what has one value and one
 difference between the row number within the entity and the row number within entity and value. Entities are cut into
-blocks of BLOCK positions, so that one entity of any size is spread over tasks; runs that touch a block's border are
-joined afterwards from at most two rows a block (an int position gives at most 2**31 / BLOCK blocks an entity).
+blocks of positions, as wide as BLOCK events of the largest entity take, so that an entity of any size is spread over
+tasks, however sparse its positions; runs that touch a block's border are joined afterwards from at most two rows a
+block.
 """
 
 from __future__ import annotations
@@ -11,9 +12,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessitura.functions.text import nfc
+
 BLOCK = 4096
 
 
+def composed(text: Column) -> Column:
+    """Text in composed form; only texts with combining accents leave the JVM."""
+    return F.coalesce(nfc(F.when(text.rlike("[\u0300-\u036f\u0591-\u06ed\u3099\u309a\u1100-\u11ff]"), text)), text)
+
+
 def spoken_key(text: Column) -> Column:
     """What a caption says: letters, marks and digits in lower case, without markup, punctuation, symbols and spacing.
 
@@ -50,16 +58,18 @@ def collapse_runs(df: DataFrame, entity: str, position: str, text: str, start: s
     a NULL entity or position are ignored; start is the earliest and end the latest of the run, NULLs passed over, and
     the duration is NULL where either is missing. Empty input gives no rows; other columns are ignored.
     """
-    block = F.floor(F.col(position) / BLOCK)
+    placed = df.filter(F.col(entity).isNotNull() & F.col(position).isNotNull())
+    spread = placed.groupBy(entity).agg(F.count("*").alias("n"), (F.max(F.col(position).cast("double")) - F.min(F.col(position).cast("double"))).alias("width"))
+    apart = spread.agg(F.max_by(F.col("width") / F.col("n"), "n")).head()[0]  # between events of the largest entity
+    block = F.floor(F.col(position) / (BLOCK * max(1, round(apart or 1))))
     last = F.max_by(F.struct(F.col(text).alias("t"), F.col(start).alias("s"), F.col(end).alias("e")), F.struct(*[F.col(c) for c in latest]))
     events = (
-        df.filter(F.col(entity).isNotNull() & F.col(position).isNotNull())
-        .select(F.col(entity).alias("ent"), F.col(position).cast("bigint").alias("pos"), block.alias("blk"), *{c: 0 for c in [text, start, end, *latest]})
+        placed.select(F.col(entity).alias("ent"), F.col(position).cast("bigint").alias("pos"), block.alias("blk"), *{c: 0 for c in [text, start, end, *latest]})
         .repartition("ent", "blk")
         .groupBy("ent", "blk", "pos")
         .agg(last.alias("x"))
         .select("ent", "blk", "pos", "x.*")
-        .withColumn("key", spoken_key(F.col("t")))
+        .withColumn("key", spoken_key(composed(F.col("t"))))
     )
     w = Window.partitionBy("ent", "blk").orderBy("pos")
     fresh = ~same_but_slip(F.lag("key").over(w), F.col("key"))

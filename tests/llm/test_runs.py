@@ -65,3 +65,14 @@ def test_collapse_across_blocks(spark, monkeypatch):
     assert sorted(tuple(r)[:4] for r in two.collect()) == sorted(w for w in want if w[3] > 1)
     assert out.filter("duration < 0").count() == 0
     assert runs.collapse_runs(df.limit(0), "audio_id", "cue_idx", "text", "s", "e", ["loaded", "id"]).count() == 0
+
+
+def test_sparse_positions_and_decomposed_accents(spark):
+    import unicodedata
+
+    rows = [("a", 1_700_000_000_000 + 3000 * i, unicodedata.normalize("NFD" if i % 2 else "NFC", f"đừng về {i // 5}x"), 1.0 * i, i + 1.0, 1) for i in range(9000)]
+    rows += [("b", 10**15, "x", 0.0, 1.0, 1), ("b", 5, "x", 0.0, 1.0, 1)]
+    df = spark.createDataFrame(rows, "ent string, pos bigint, text string, s double, e double, n int")
+    out = runs.collapse_runs(df, "ent", "pos", "text", "s", "e", ["n"], 2)
+    got = out.collect()
+    assert sum(r.n_events for r in got if r.ent == "a") == 9000 and len([r for r in got if r.ent == "a"]) == 1800 and len([r for r in got if r.ent == "b"]) == 1
