@@ -154,4 +154,25 @@ w(x, y) AS (SELECT id, id FROM k WHERE v IS NOT NULL UNION SELECT w.x, b.y FROM
 c AS (SELECT x, min(y) AS root FROM w GROUP BY x),
 n AS (SELECT DISTINCT c.root, substr(k.v, 3) AS v FROM c JOIN k ON c.x = k.id)
 SELECT a.v AS video_a, b.v AS video_b FROM n a JOIN n b ON a.root = b.root AND a.v < b.v""".replace("\\\\", "\\"),
+    "p5_groups": """
+WITH RECURSIVE r AS (
+  SELECT DISTINCT CASE WHEN trim(video_id) <> '' THEN 'v:' || video_id END AS v, CASE WHEN trim(audio_id) <> '' THEN 'a:' || audio_id END AS a,
+    CASE WHEN trim(segment_id) <> '' THEN 's:' || segment_id END AS s, 'k:' || nullif(regexp_extract(source_url, '[?&;]v=([^&#;\\s]+)', 1), '') AS k
+  FROM segments),
+k AS (SELECT row_number() OVER () AS id, v, a, s, k FROM r),
+t AS (SELECT id, unnest([v, a, s, k]) AS t FROM k), m AS (SELECT DISTINCT id, t FROM t WHERE t IS NOT NULL),
+e AS (SELECT t, min(id) AS lo FROM m GROUP BY t HAVING min(id) < max(id)),
+g AS (SELECT DISTINCT m.id AS x, e.lo AS y FROM m JOIN e USING (t) WHERE m.id <> e.lo),
+b AS (SELECT x, y FROM g UNION SELECT y, x FROM g),
+w(x, y) AS (SELECT id, id FROM k WHERE v IS NOT NULL UNION SELECT w.x, b.y FROM w JOIN b ON w.y = b.x),
+c AS (SELECT x, min(y) AS root FROM w GROUP BY x),
+n AS (SELECT DISTINCT c.root, substr(k.v, 3) AS v FROM c JOIN k ON c.x = k.id)
+SELECT v AS video_id, min(v) OVER (PARTITION BY root) AS group_video FROM n""".replace("\\\\", "\\"),
+    # every run of twelve words of an item, looked up among those of the documents
+    "p7_found": r"""
+WITH x AS (SELECT 'd' AS side, doc_id AS id, text FROM documents UNION ALL SELECT 'i', item_id, text FROM eval_items),
+p AS (SELECT side, id, regexp_replace(regexp_replace(text, '(?m)^(\d+[ \t]*\r?\n)?[ \t]*(\d{1,2}:)?\d{1,2}:\d{2}[.,]\d{1,3}\s*-->[^\n]*$|\d{1,2}:\d{2}:\d{2}([.,]\d+)?|\[\d{1,2}:\d{2}([.,]\d+)?\]', ' ', 'g'), '<[^<>\n]*>|\{\\[^{}]*\}', '', 'g') AS t FROM x WHERE text IS NOT NULL),
+w AS (SELECT side, id, regexp_extract_all(replace(lower(strip_accents(t)), 'đ', 'd'), '[\p{Han}\p{Hiragana}\p{Katakana}]|[\p{L}\p{N}]+') AS w FROM p),
+g AS (SELECT DISTINCT side, id, array_to_string(w[k : k + 11], ' ') AS g FROM (SELECT side, id, w, unnest(range(1, len(w) - 10)) AS k FROM w WHERE len(w) >= 12))
+SELECT DISTINCT d.id AS doc_id, i.id AS item_id FROM g d JOIN g i USING (g) WHERE d.side = 'd' AND i.side = 'i'""",
 }
