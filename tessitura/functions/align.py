@@ -1,64 +1,135 @@
-"""Word and character alignment: counts of substitutions, deletions, insertions and matches.
+"""Word and character alignment: operations, and counts of substitutions, deletions, insertions and matches.
 
-A cell's back-pointer depends on the cell alone (diagonal before deletion before insertion), so the counts are carried
-forward with it, row by row, and no matrix is kept.
+Costs go row by row, a row at once: what a cell takes from its left neighbour is a running minimum. Ties go to the
+diagonal, then to a deletion, then to an insertion. Only every so many rows are kept; the way back computes those
+between anew, so that memory grows with the width times the root of the height.
 """
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 COUNTS = "struct<sub:int,del:int,ins:int,cor:int,n_ref:int,n_hyp:int>"
+OPS = "array<struct<op:string,ref:string,hyp:string,ref_at:int,hyp_at:int>>"
+EQUAL, SUB, DEL, INS = range(4)
+#: Names of the operations.
+NAMES = ("EQUAL", "SUB", "DEL", "INS")
+
+
+def _codes(ref: list[str], hyp: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    number: dict[str, int] = {}
+    return tuple(np.array([number.setdefault(w, len(number)) for w in ws], np.int64) for ws in (ref, hyp))
+
+
+def _row(before: np.ndarray, r: int, hyp: np.ndarray, steps: np.ndarray) -> np.ndarray:
+    """The next row of costs."""
+    best = before + 1
+    best[1:] = np.minimum(best[1:], before[:-1] + (hyp != r))
+    return np.minimum.accumulate(best - steps) + steps
+
+
+def path(ref: list[str], hyp: list[str]) -> np.ndarray:
+    """The operations of the best alignment, in order."""
+    a, b = _codes(ref, hyp)
+    n, m = len(a), len(b)
+    steps = np.arange(m + 1)
+    every = max(1, int(n**0.5))
+    kept = {0: steps.copy()}
+    row = kept[0]
+    for i in range(1, n + 1):
+        row = _row(row, a[i - 1], b, steps)
+        if i % every == 0:
+            kept[i] = row
+    out, i, j = [], n, m
+    rows: dict[int, np.ndarray] = {}
+    while i or j:
+        if i and i - 1 not in rows:
+            low = (i - 1) // every * every
+            rows = {low: kept[low]}
+            for k in range(low + 1, min(low + every, n) + 1):
+                rows[k] = _row(rows[k - 1], a[k - 1], b, steps)
+        if i and j and rows[i][j] == rows[i - 1][j - 1] + (a[i - 1] != b[j - 1]):
+            out.append(EQUAL if a[i - 1] == b[j - 1] else SUB)
+            i, j = i - 1, j - 1
+        elif i and rows[i][j] == rows[i - 1][j] + 1:
+            out.append(DEL)
+            i -= 1
+        else:
+            out.append(INS)
+            j -= 1
+    return np.array(out[::-1], np.int8)
+
+
+def _window(ops: np.ndarray) -> np.ndarray:
+    """Without deletions and insertions before the first and after the last aligned pair; all where no pair is aligned."""
+    pairs = np.flatnonzero(ops <= SUB)
+    return ops[pairs[0] : pairs[-1] + 1] if len(pairs) else ops
 
 
 def count(ref: list[str], hyp: list[str], windowed: bool = False) -> tuple[int, int, int, int, int, int]:
-    """(S, D, I, C, n_ref, n_hyp). windowed leaves out deletions and insertions before the first and after the last
-    aligned pair; where no pair is aligned the whole alignment counts."""
-    # a cell: (cost, S, D, I, C, D before the first pair, I before it, D after the last pair, I after it)
-    row = [(j, 0, 0, j, 0, 0, j, 0, 0) for j in range(len(hyp) + 1)]
-    for i, r in enumerate(ref, 1):
-        left = (i, 0, i, 0, 0, i, 0, 0, 0)
-        new = [left]
-        for j, h in enumerate(hyp, 1):
-            diag, up = row[j - 1], row[j]
-            same = r == h
-            best = min(diag[0] + (not same), up[0] + 1, left[0] + 1)
-            if best == diag[0] + (not same):
-                left = (best, diag[1] + (not same), diag[2], diag[3], diag[4] + same, diag[5], diag[6], 0, 0)
-            else:
-                c = up if best == up[0] + 1 else left
-                d, n = (1, 0) if c is up else (0, 1)
-                paired = c[1] + c[4] > 0
-                left = (best, c[1], c[2] + d, c[3] + n, c[4], c[5] + d * (not paired), c[6] + n * (not paired), c[7] + d * paired, c[8] + n * paired)
-            new.append(left)
-        row = new
-    _, s, d, n, c, d0, i0, d1, i1 = row[-1]
-    if windowed and s + c:
-        d, n = d - d0 - d1, n - i0 - i1
-        return s, d, n, c, s + d + c, s + n + c
-    return s, d, n, c, len(ref), len(hyp)
-
-
-def _udf(windowed: bool):
-    def run(ref: pd.Series, hyp: pd.Series) -> pd.DataFrame:
-        known: dict[tuple, tuple] = {}
+    """(S, D, I, C, n_ref, n_hyp); windowed: of the span from the first to the last aligned pair."""
+    ops = path(ref, hyp)
+    c, s, d, i = np.bincount(_window(ops) if windowed else ops, minlength=4).tolist()
+    return s, d, i, c, s + d + c, s + i + c
+
+
+def operations(ref: list[str], hyp: list[str]) -> list[tuple[str, str | None, str | None, int | None, int | None]]:
+    """(operation, reference word, hypothesis word, their places) in order; NULL where a side has none."""
+    out, i, j = [], 0, 0
+    for op in path(ref, hyp).tolist():
+        in_ref, in_hyp = op != INS, op != DEL
+        out.append((NAMES[op], ref[i] if in_ref else None, hyp[j] if in_hyp else None, i if in_ref else None, j if in_hyp else None))
+        i, j = i + in_ref, j + in_hyp
+    return out
+
+
+def _per_pair(f, kind: str):
+    def run(ref: pd.Series, hyp: pd.Series) -> pd.Series:
+        known: dict[tuple, object] = {}
         out = []
         for r, h in zip(ref, hyp):
             key = (tuple(r) if r is not None else (), tuple(h) if h is not None else ())
             if key not in known:
-                known[key] = count(list(key[0]), list(key[1]), windowed)
+                known[key] = f(list(key[0]), list(key[1]))
             out.append(known[key])
-        return pd.DataFrame(out, columns=["sub", "del", "ins", "cor", "n_ref", "n_hyp"])
+        return pd.DataFrame(out, columns=["sub", "del", "ins", "cor", "n_ref", "n_hyp"]) if kind == COUNTS else pd.Series(out, dtype=object)
 
-    run.__annotations__ = {"ref": pd.Series, "hyp": pd.Series, "return": pd.DataFrame}
-    return F.pandas_udf(run, COUNTS)
+    run.__annotations__ = {"ref": pd.Series, "hyp": pd.Series, "return": pd.DataFrame if kind == COUNTS else pd.Series}
+    return F.pandas_udf(run, kind)
 
 
 def aligned(ref: Column, hyp: Column, windowed: bool = False) -> Column:
     """Counts of aligning two arrays of strings; NULL is the empty array."""
-    return _udf(windowed)(ref, hyp)
+    return _per_pair(lambda r, h: count(r, h, windowed), COUNTS)(ref, hyp)
+
+
+def aligned_ops(ref: Column, hyp: Column) -> Column:
+    """The operations of aligning two arrays of strings, in order, with the places of both words."""
+    names = ("op", "ref", "hyp", "ref_at", "hyp_at")
+    return _per_pair(lambda r, h: [dict(zip(names, x)) for x in operations(r, h)], OPS)(ref, hyp)
+
+
+def counts_of(ops: Column, windowed: bool = False) -> Column:
+    """Counts of an array of operations."""
+    pair = lambda x: x["op"].isin("EQUAL", "SUB")
+    first = F.size(F.filter(ops, lambda x, i: ~F.exists(F.slice(ops, 1, i + 1), pair)))
+    last = F.size(ops) - F.size(F.filter(ops, lambda x, i: ~F.exists(F.slice(ops, i + 1, F.size(ops)), pair)))
+    part = F.when(F.exists(ops, pair), F.slice(ops, first + 1, F.greatest(last - first, F.lit(0)))).otherwise(ops) if windowed else ops
+    n = lambda name: F.size(F.filter(part, lambda x: x["op"] == name))
+    s, d, i, c = n("SUB"), n("DEL"), n("INS"), n("EQUAL")
+    return F.struct(s.alias("sub"), d.alias("del"), i.alias("ins"), c.alias("cor"), (s + d + c).alias("n_ref"), (s + i + c).alias("n_hyp"))
+
+
+def shown(ops: Column, most: int = 40) -> Column:
+    """Three lines, reference, hypothesis and operation, of the first ``most`` operations, padded to equal widths."""
+    word = lambda x, side: F.coalesce(x[side], F.lit("*"))
+    mark = lambda x: F.when(x["op"] == "EQUAL", " ").otherwise(F.left(x["op"], F.lit(1)))
+    width = lambda x: F.greatest(F.length(word(x, "ref")), F.length(word(x, "hyp")))
+    line = lambda head, f: F.concat(F.lit(head), F.array_join(F.transform(F.slice(ops, 1, most), lambda x: F.rpad(f(x), width(x), F.lit(" "))), " "))
+    return F.concat_ws("\n", line("REF: ", lambda x: word(x, "ref")), line("HYP: ", lambda x: word(x, "hyp")), line("     ", mark))
 
 
 def errors(c: Column) -> Column:

@@ -98,16 +98,22 @@ def timecode(c: Column) -> Column:
     return F.when(F.size(p) == 2, part(0) * 60 + part(1)).when(F.size(p) == 3, part(0) * 3600 + part(1) * 60 + part(2))
 
 
-def video_address(c: Column, host: str = "clips.example") -> Column:
-    """The canonical address of a video, or NULL: watch?v=, short links, /shorts/ and /embed/ paths."""
+def video_key(c: Column, host: str = "clips.example", short_host: str = "clip.example") -> Column:
+    """The id in a video's address, or NULL: watch?v=, /shorts/ and /embed/ paths, and paths of the short host."""
     flat = F.trim(c)
     at = F.lower(F.regexp_extract(flat, r"^https?://([^/?#]+)", 1))
     path = F.regexp_extract(flat, r"^https?://[^/?#]+(/[^?#]*)", 1)
     query = F.regexp_extract(flat, r"[?&]v=([^&#\s]+)", 1)
     named = F.regexp_extract(path, r"^/(?:shorts|embed)/([^/]+)", 1)
     known = F.regexp_replace(at, r"^(?:www\.|m\.|music\.)", "") == host
-    key = F.when(known & (path == "/watch") & (query != ""), query).when(known & (named != ""), named)
-    return F.when(F.length(key) > 0, F.concat(F.lit(f"https://{host}/watch?v="), key))
+    brief = F.regexp_extract(path, r"^/([^/]+)", 1)
+    of_short = F.regexp_replace(at, r"^www\.", "") == short_host
+    return F.when(known & (path == "/watch") & (query != ""), query).when(known & (named != ""), named).when(of_short & (brief != ""), brief)
+
+
+def video_address(c: Column, host: str = "clips.example", short_host: str = "clip.example") -> Column:
+    """The canonical address of a video, or NULL, from the forms that video_key() reads."""
+    return F.concat(F.lit(f"https://{host}/watch?v="), video_key(c, host, short_host))
 
 
 def video_of_audio(c: Column) -> Column:

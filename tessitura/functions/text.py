@@ -62,6 +62,18 @@ def casefold(c: Column) -> Column:
     return _per_value(lambda v: unicodedata.normalize("NFC", v).casefold())(c)
 
 
+def _both_forms(c: Column) -> Column:
+    """struct(folded, composed): casefold() and nfc() in one pass."""
+
+    def run(s: pd.Series) -> pd.DataFrame:
+        codes, values = pd.factorize(s)
+        done = [unicodedata.normalize("NFC", v) for v in values]
+        return pd.DataFrame({"folded": [done[c].casefold() if c >= 0 else None for c in codes], "composed": [done[c] if c >= 0 else None for c in codes]})
+
+    run.__annotations__ = {"s": pd.Series, "return": pd.DataFrame}
+    return F.pandas_udf(run, "folded string, composed string")(c)
+
+
 def unescape_html(c: Column) -> Column:
     return _per_value(html.unescape)(c)
 
@@ -84,18 +96,28 @@ def compare_form(c: Column) -> Column:
     return squeeze(F.regexp_replace(casefold(c), rf"[^{_WORD}\s]", " "))
 
 
+def _is_blocklisted(form: Column) -> Column:
+    return F.coalesce(form.isin(list(BLOCKLIST)), F.lit(False))
+
+
+def _has_promo(form: Column) -> Column:
+    return F.coalesce(form.rlike("|".join(PROMO)), F.lit(False))
+
+
 def is_blocklisted(c: Column) -> Column:
     """Whether the whole text is a phrase of the blocklist."""
-    return F.coalesce(compare_form(c).isin(list(BLOCKLIST)), F.lit(False))
+    return _is_blocklisted(compare_form(c))
 
 
 def has_promo(c: Column) -> Column:
     """Whether a promotional phrase occurs in the text."""
-    return F.coalesce(compare_form(c).rlike("|".join(PROMO)), F.lit(False))
+    return _has_promo(compare_form(c))
 
 
-def is_music_title(c: Column, more: tuple[str, ...] = ()) -> Column:
-    pattern = "|".join(f"\\Q{k.casefold()}\\E" for k in (*MUSIC_TITLES, *more))
+def is_music_title(c: Column, more: tuple[str, ...] | str = ()) -> Column:
+    """Whether a title speaks of music; more: further keywords, or a comma-separated list of them."""
+    extra = [k.strip() for k in more.split(",")] if isinstance(more, str) else more
+    pattern = "|".join(f"\\Q{k.casefold()}\\E" for k in (*MUSIC_TITLES, *filter(None, extra)))
     return F.coalesce(F.lower(c).rlike(pattern), F.lit(False))
 
 
@@ -110,20 +132,15 @@ def characters(c: Column) -> Column:
     return F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, ""))
 
 
-def _runs(words: Column) -> Column:
-    """For each word, how many equal words in a row end with it."""
-    start = F.struct(F.lit(None).cast("string").alias("w"), F.lit(0).alias("n"), F.array().cast("array<int>").alias("all"))
+def longest_repeat(c: Column) -> Column:
+    """Length of the longest run of one word; 0 for blank text."""
+    start = F.struct(F.lit(None).cast("string").alias("w"), F.lit(0).alias("n"), F.lit(0).alias("most"))
 
     def step(acc: Column, w: Column) -> Column:
         n = F.when(acc["w"] == w, acc["n"] + 1).otherwise(1)
-        return F.struct(w.alias("w"), n.alias("n"), F.array_append(acc["all"], n).alias("all"))
-
-    return F.aggregate(words, start, step, lambda acc: acc["all"])
-
+        return F.struct(w.alias("w"), n.alias("n"), F.greatest(acc["most"], n).alias("most"))
 
-def longest_repeat(c: Column) -> Column:
-    """Length of the longest run of one word; 0 for blank text."""
-    return F.coalesce(F.array_max(_runs(tokens(c))), F.lit(0))
+    return F.aggregate(tokens(c), start, step, lambda acc: acc["most"])
 
 
 def has_excessive_repetition(c: Column, limit: int = 10) -> Column:
@@ -132,8 +149,9 @@ def has_excessive_repetition(c: Column, limit: int = 10) -> Column:
 
 def collapse_repetition(c: Column, most: int = 6) -> Column:
     """At most ``most`` of each run of one word; '' for NULL."""
-    pairs = F.arrays_zip(tokens(c).alias("w"), _runs(tokens(c)).alias("n"))
-    return F.array_join(F.transform(F.filter(pairs, lambda p: p["n"] <= most), lambda p: p["w"]), " ")
+    words = tokens(c)
+    full = lambda w, i: F.forall(F.sequence(F.lit(1), F.lit(most)), lambda j: F.get(words, i - j) == w)
+    return F.array_join(F.filter(words, lambda w, i: (i < most) | ~full(w, i)), " ")
 
 
 def collapse_adlibs(c: Column) -> Column:
@@ -144,7 +162,10 @@ def collapse_adlibs(c: Column) -> Column:
 
 def vlsp(c: Column) -> Column:
     """Spelled-out acronyms joined, proper nouns in their own spelling; case and punctuation stay. '' for NULL."""
-    out = nfc(F.coalesce(c, F.lit("")))
+    return _vlsp(nfc(F.coalesce(c, F.lit(""))))
+
+
+def _vlsp(out: Column) -> Column:
     for a in ACRONYMS:
         out = F.regexp_replace(out, r"(?iU)\b" + r"[\s.\-]+".join(a) + r"\b", a)
     for low, own in PROPER_NOUNS.items():
@@ -154,10 +175,13 @@ def vlsp(c: Column) -> Column:
 
 def clean_transcript(c: Column, no_speech: Column | None = None, logprob: Column | None = None, no_speech_max: float = 0.6, logprob_min: float = -1.0, limit: int = 10) -> Column:
     """'' for blank, improbable, blocklisted, promotional or looping text; else its vlsp form."""
-    bad = is_blocklisted(c) | has_promo(c) | has_excessive_repetition(c, limit)
+    both = _both_forms(F.coalesce(c, F.lit("")))  # Python is entered once a text
+    form = squeeze(F.regexp_replace(both["folded"], rf"[^{_WORD}\s]", " "))
+    listed = F.transform(F.array(form), lambda f: _is_blocklisted(f) | _has_promo(f))[0]
+    bad = listed | has_excessive_repetition(c, limit)
     if no_speech is not None and logprob is not None:
         bad |= F.coalesce((no_speech > no_speech_max) & (logprob < logprob_min), F.lit(False))
-    return F.when(F.coalesce(F.trim(c), F.lit("")) == "", "").when(bad, "").otherwise(vlsp(c))
+    return F.when(F.coalesce(F.trim(c), F.lit("")) == "", "").when(bad, "").otherwise(_vlsp(both["composed"]))
 
 
 def wer_form(c: Column, level: str = "normalized", phrases: tuple[str, ...] = (), diacritics: bool = True) -> Column:

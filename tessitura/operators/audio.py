@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 import wave
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -16,20 +17,24 @@ FRAME = 512
 WAV = "struct<rate:int,channels:int,width:int,n_frames:int,samples:array<smallint>,error:string>"
 
 
-def decode_wav(data: bytes | None, mono: bool = True) -> dict:
-    """Header and samples of a 16-bit WAV; stereo is averaged if mono is False-tolerant, else it is an error row."""
+def decode_wav(data: bytes | None, mono: bool = True, strict: bool = True, rate: int | None = None) -> dict:
+    """Header and samples of a WAV file. Channels are averaged unless mono asks for one; what isn't 16 bits, or not of
+    the rate asked for, is an error row; strict=False takes 8 bits as well."""
     empty = {"rate": None, "channels": None, "width": None, "n_frames": None, "samples": None, "error": None}
     try:
         with wave.open(io.BytesIO(data or b"")) as w:
             head = {"rate": w.getframerate(), "channels": w.getnchannels(), "width": w.getsampwidth(), "n_frames": w.getnframes()}
-            if head["width"] != 2 or (mono and head["channels"] != 1):
-                return empty | head | {"error": "expected mono 16-bit PCM"}
-            x = np.frombuffer(w.readframes(head["n_frames"]), "<i2")
+            raw = w.readframes(head["n_frames"])
     except (wave.Error, EOFError) as e:
         return empty | {"error": str(e) or "not a WAV file"}
+    if (head["width"] != 2 and (strict or head["width"] != 1)) or (strict and mono and head["channels"] != 1):
+        return empty | head | {"error": "expected mono 16-bit PCM" if mono else "expected 16-bit PCM"}
+    if rate and head["rate"] != rate:
+        return empty | head | {"error": f"expected {rate} Hz"}
+    x = np.frombuffer(raw, "<i2") if head["width"] == 2 else (np.frombuffer(raw, "u1").astype(np.int16) - 128) << 8
     if head["channels"] > 1:
-        x = np.round(x.reshape(-1, head["channels"]).mean(axis=1)).astype("<i2")
-    return empty | head | {"samples": x.tolist()}
+        x = np.round(x[: len(x) // head["channels"] * head["channels"]].reshape(-1, head["channels"]).mean(axis=1)).astype("<i2")
+    return empty | head | {"samples": x}
 
 
 def encode_wav(samples: list[int], rate: int) -> bytes:
@@ -42,10 +47,19 @@ def encode_wav(samples: list[int], rate: int) -> bytes:
     return out.getvalue()
 
 
-def with_wav(df: DataFrame, content: str, mono: bool = True) -> DataFrame:
-    """df with column wav: header, samples, or the error that a strict reader raises."""
-    f = F.udf(lambda b: decode_wav(b, mono), WAV, useArrow=False)
-    return df.withColumn("wav", f(F.col(content)))
+def with_wav(df: DataFrame, content: str, mono: bool = True, strict: bool = True, rate: int | None = None) -> DataFrame:
+    """df with column wav: header, samples, or the error that a strict reader raises. Samples go as Arrow arrays."""
+
+    def decode(s: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([decode_wav(b, mono, strict, rate) for b in s], columns=["rate", "channels", "width", "n_frames", "samples", "error"], dtype=object)
+
+    decode.__annotations__ = {"s": pd.Series, "return": pd.DataFrame}
+    return df.withColumn("wav", F.pandas_udf(decode, WAV)(F.col(content)))
+
+
+def as_float(samples):
+    """16-bit samples as numbers in [-1, 1)."""
+    return F.transform(samples, lambda x: x / F.lit(32768.0))
 
 
 def is_clean(wav, rate: int):
@@ -161,13 +175,14 @@ def voice_signals(df: DataFrame, entity: str, order: str, probability: str, volu
     return rows.groupBy(entity).applyInPandas(run, f"entity {kind}, seq int, signal_type string, signal_at double").withColumnRenamed("entity", entity)
 
 
-def augment(signals: Iterator[pd.DataFrame], column: str, key: str, seed: int = 42, snr_db: float = 20.0, gain_db: float = 3.0) -> Iterator[pd.DataFrame]:
-    """For mapInPandas: gain within ±gain_db and noise at snr_db, drawn from the row's key and the seed."""
+def augment(signals: Iterator[pd.DataFrame], column: str, key: str, seed: int = 42, snr_db: float = 20.0, gain_db: float = 3.0, noise_p: float = 0.2) -> Iterator[pd.DataFrame]:
+    """For mapInPandas: gain within ±gain_db and, with probability noise_p, noise at snr_db, drawn from the row's key and
+    the seed."""
     for pdf in signals:
         out = []
         for k, x in zip(pdf[key], pdf[column]):
-            rng = np.random.default_rng([seed, abs(hash(str(k))) if not isinstance(k, (int, np.integer)) else int(k)])
+            rng = np.random.default_rng([seed, zlib.crc32(str(k).encode())])
             y = np.asarray(x, float) * 10 ** (rng.uniform(-gain_db, gain_db) / 20)
-            power = float(np.mean(y**2)) / 10 ** (snr_db / 10) if len(y) else 0.0
+            power = float(np.mean(y**2)) / 10 ** (snr_db / 10) if len(y) and rng.random() < noise_p else 0.0
             out.append(np.clip(y + rng.normal(0, np.sqrt(power), len(y)), -1, 1).tolist())
         yield pdf.assign(**{column: out})

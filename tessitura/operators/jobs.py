@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessitura.runtime import cut
+
 ACTIVE = ("queued", "running", "completed", "skipped")
 STATES = ("completed", "failed", "skipped", "running", "queued")
 
@@ -63,9 +65,10 @@ def resume(df: DataFrame, status: str) -> DataFrame:
 def numbered(df: DataFrame, order: list[Column], name: str = "row_no") -> DataFrame:
     """Consecutive numbers from 0 in a global order, without one task that sorts all rows.
 
-    Rows are range-partitioned; a partition's numbers begin after the rows of those before it (one count a partition).
+    Rows are range-partitioned and kept, as ranges are sampled and must not differ between the two reads; a partition's
+    numbers begin after the rows of those before it (one count a partition).
     """
-    keyed = df.withColumn("_o", F.struct(*order)).repartitionByRange(F.col("_o")).withColumn("_p", F.spark_partition_id())
+    keyed = cut(df.withColumn("_o", F.struct(*order)).repartitionByRange(F.col("_o")).withColumn("_p", F.spark_partition_id()))
     inner = keyed.withColumn("_r", F.row_number().over(Window.partitionBy("_p").orderBy("_o")) - 1)
     sizes = keyed.groupBy("_p").agg(F.count("*").alias("_n")).withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     return inner.join(F.broadcast(sizes.select("_p", "_before")), "_p").withColumn(name, F.col("_r") + F.col("_before")).drop("_o", "_p", "_r", "_before")
@@ -103,14 +106,14 @@ def run_delta(df: DataFrame, run: str, stage: str, value: str) -> DataFrame:
 def label_ids(df: DataFrame, label: str, known: dict[str, int]) -> DataFrame:
     """(label, label_id): known ids stay, the other labels in order take the smallest free ids.
 
-    Labels are a vocabulary: the distinct ones pass through one task.
+    The distinct labels are numbered by ranges, however many they are.
     """
     names = df.select(label).filter(F.col(label).isNotNull()).distinct()
     given = F.lit(None).cast("int")
     for k, v in known.items():
         given = F.when(F.col(label) == k, v).otherwise(given)
     out = names.withColumn("_id", given)
-    rest = out.filter("_id is null").withColumn("_n", F.row_number().over(Window.orderBy(label)) - 1)
+    rest = numbered(out.filter("_id is null"), [F.col(label)], "_n")
     taken = sorted(set(known.values()))
     free = F.col("_n")
     for t in taken:

@@ -64,7 +64,7 @@ def q_strip_diacritics(spark, d):
 
 
 def q_caption_text(spark, d):
-    c = table(spark, d, "transcript_cues").filter(F.col("text").contains("<"))
+    c = table(spark, d, "transcript_cues").filter(F.col("text").isNotNull())
     return c.select("cue_id", tx.caption_text(F.col("text")).alias("plain"))
 
 
@@ -126,13 +126,8 @@ def q_sentence_units(spark, d):
 
 
 def q_vtt_cues(spark, d):
-    v = table(spark, d, "documents").filter(F.col("text").startswith("WEBVTT")).select("doc_id", "text")
-    return captions.parse_cues(v, "text")
-
-
-def q_vtt_words(spark, d):
     v = table(spark, d, "documents").filter(F.col("text").contains("-->")).select("doc_id", "text")
-    return captions.parse_words(v, "text")
+    return captions.parse_cues(v, "text").withColumns({"start": F.round("start", 6), "end": F.round("end", 6)})
 
 
 def q_audio_summary(spark, d):
@@ -245,4 +240,19 @@ q AS (SELECT *, CAST(ceil(len(w) / n::DOUBLE) AS BIGINT) AS per, unnest(range(0,
 SELECT cue_id, part_idx, round(s + part_idx * ((e - s) / n), 9) AS part_start, round(CASE WHEN n = 1 AND e - s > 4 THEN s + 4 WHEN part_idx = n - 1 THEN e ELSE s + (part_idx + 1) * ((e - s) / n) END, 9) AS part_end,
   CASE WHEN n = 1 THEN text ELSE array_to_string(w[part_idx * per + 1 : (part_idx + 1) * per], ' ') END AS part_text FROM q WHERE n = 1 OR part_idx * per < len(w)""",
 }
+_SPACES = r"[\s\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
+SQL["q_caption_text"] = f"""WITH t AS (SELECT cue_id, regexp_replace(text, '<[^>]+>', ' ', 'g') AS x FROM transcript_cues WHERE text IS NOT NULL),
+u AS (SELECT cue_id, replace(replace(replace(replace(replace(x, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;', '&') AS x FROM t) SELECT cue_id, trim(regexp_replace(x, '{_SPACES}', ' ', 'g')) AS plain FROM u"""
+# blocks of lines up to a blank one; a block says what the last line of the block before it doesn't show already
+SQL["q_vtt_cues"] = r"""WITH t AS (SELECT doc_id, replace(replace(text, chr(13) || chr(10), chr(10)), chr(13), chr(10)) AS x FROM documents WHERE text LIKE '%-->%'),
+b AS (SELECT doc_id, regexp_extract_all(x, '((?:\d{2}:)?\d{2}:\d{2}\.\d{3})\s+-->\s+((?:\d{2}:)?\d{2}:\d{2}\.\d{3})[^\n]*(?:\n|$)((?:[^\n]*\S[^\n]*(?:\n|$))*)') AS k FROM t),
+n AS (SELECT doc_id, unnest(k) AS k, unnest(range(len(k))) AS i FROM b),
+p AS (SELECT doc_id, i, regexp_extract(k, '^(\S+)', 1) AS a, regexp_extract(k, '-->\s+(\S+)', 1) AS z, list_filter(list_transform(string_split(regexp_replace(k, '^[^\n]*\n?', ''), chr(10)), lambda y: trim(regexp_replace(regexp_replace(y, '<[^>]+>', ' ', 'g'), '\s+', ' ', 'g'))), lambda y: y <> '') AS l FROM n),
+q AS (SELECT *, list_filter(range(1, len(l) + 1), lambda j: j = 1 OR lower(l[j]) <> lower(l[j - 1])) AS keep FROM p WHERE len(l) > 0),
+r AS (SELECT doc_id, i, a, z, list_transform(keep, lambda j: l[j]) AS l FROM q), s AS (SELECT *, lag(l[-1]) OVER (PARTITION BY doc_id ORDER BY i) AS shown FROM r),
+w AS (SELECT *, array_to_string(CASE WHEN shown IS NOT NULL AND len(l) > 1 AND lower(l[1]) = lower(shown) THEN l[2:] ELSE l END, ' ') AS whole FROM s),
+v AS (SELECT *, CASE WHEN shown IS NOT NULL AND starts_with(lower(whole), lower(shown)) AND trim(substr(whole, length(shown) + 1)) <> '' THEN trim(substr(whole, length(shown) + 1)) ELSE whole END AS said FROM w),
+o AS (SELECT * FROM v WHERE shown IS NULL OR lower(said) <> lower(shown))
+SELECT doc_id, (row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1)::INT AS cue_idx, round(list_reduce(list_prepend(0.0::DOUBLE, list_transform(string_split(a, ':'), lambda c: c::DOUBLE)), lambda m, c: m * 60 + c), 6) AS start,
+  round(list_reduce(list_prepend(0.0::DOUBLE, list_transform(string_split(z, ':'), lambda c: c::DOUBLE)), lambda m, c: m * 60 + c), 6) AS "end", said AS text FROM o"""
 QUERIES = {k: f for k, f in globals().items() if k.startswith("q_")}

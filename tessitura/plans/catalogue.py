@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessitura.plans import captions_q, intervals_q, manifest_q
+from tessitura.plans import captions_q, intervals_q, manifest_q, more_q
 
-MODULES = [intervals_q, captions_q, manifest_q]
+MODULES = [intervals_q, captions_q, manifest_q, more_q]
 FLAGSHIP = "q_clean_gate"
 
 

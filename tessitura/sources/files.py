@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,7 +35,12 @@ def caption_files(spark: SparkSession, folder: str) -> DataFrame:
     """(video_id, path, text): one caption file a video, Vietnamese ones first, then by name."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.vtt").load(folder)
     name = F.element_at(F.split("path", "/"), -1)
-    decode = F.udf(lambda b: captions.decode(bytes(b)), "string", useArrow=False)
+
+    def texts(s: pd.Series) -> pd.Series:
+        return s.map(lambda b: captions.decode(bytes(b)))
+
+    texts.__annotations__ = {"s": pd.Series, "return": pd.Series}
+    decode = F.pandas_udf(texts, "string")
     order = F.struct((~F.lower(name).endswith(".vi.vtt")).alias("a"), name.alias("b"))
     return files.withColumn("video_id", F.split(F.regexp_replace(name, r"(?i)(\.vi)?\.vtt$", ""), "__")[0]).groupBy("video_id").agg(F.min_by(F.struct("path", "content"), order).alias("f")).select("video_id", "f.path", decode("f.content").alias("text"))
 

@@ -111,10 +111,16 @@ các bạn nhé
 """
 
 
-def test_vtt():
-    assert captions.cues(VTT) == [(1.0, 2.0, "xin chào"), (2.0, 3.0, "các bạn nhé")]
+def test_vtt(spark):
+    rolled = VTT + "00:00:05.000 --> 00:00:06.000\nCÁC bạn  nhé và &amp; cả <i>nhà</i>\nvà &amp; cả nhà\n\n10:00.500 --> 10:01.000\n\n"
+    df = spark.createDataFrame([(1, VTT, 7), (2, rolled.replace("\n", "\r\n"), 7), (3, "", 7), (4, None, 7), (5, "no times", 7)], "i int, vtt string, start int")
+    got = {}
+    for r in captions.parse_cues(df, "vtt").orderBy("i", "cue_idx").collect():
+        got.setdefault(r.i, []).append((r.start, r.end, r.text))
+    two = [(1.0, 2.0, "xin chào"), (2.0, 3.0, "các bạn nhé")]
+    assert got == {1: two, 2: [*two, (5.0, 6.0, "và & cả nhà và & cả nhà")]}
     assert captions.words(VTT) == [("các", 2.0, 2.2), ("bạn", 2.2, 2.6), ("nhé", 2.6, 3.0)]
-    assert captions.cues("") == [] and captions.decode("chào".encode("utf-8-sig")) == "chào"
+    assert captions.decode("chào".encode("utf-8-sig")) == "chào"
 
 
 def test_units():
