@@ -4,7 +4,8 @@ Time is cut into cells of 2**CELL ms. Within a cell every interval becomes at mo
 in a larger block go, sibling pairs become their parent, and neighbouring blocks coalesce. Cells of one entity go to
 different tasks, so an entity of any size is spread; a cell holds at most 2**CELL rows, as of the intervals that begin
 at the same millisecond only the longest is kept before the exchange. What crosses cell borders is joined afterwards
-from at most two fragments a cell.
+from at most two fragments a cell. Intervals over many cells keep their canonical blocks above the cells, so that one of
+any length is a few dozen rows.
 """
 
 from __future__ import annotations
@@ -16,7 +17,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessitura.runtime import cut
+
 CELL = 20
+#: Cells that an interval is written to; a longer one is kept as blocks of higher levels.
+LONG = 64
 
 
 def dyadic_blocks(starts: np.ndarray, ends: np.ndarray, top: int = CELL) -> list[np.ndarray]:
@@ -86,18 +91,18 @@ def union_in_cells(cell: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tu
 
 
 def _cells_to_periods(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (entity columns, cell, s, e) sorted by entity and cell → periods clipped to cells, with their neighbour."""
+    """Rows (entity columns, _cell, _lo, _hi) sorted by entity and cell → periods clipped to cells, with their neighbour."""
     rest: pa.Table | None = None
 
     def work(t: pa.Table) -> pa.RecordBatch:
         keys = t.column_names[:-2]
         number = _changes(t, keys).cumsum() - 1
-        s, e = (t.column(c).to_numpy() for c in ("s", "e"))
+        s, e = (t.column(c).to_numpy() for c in ("_lo", "_hi"))
         at, begin, end = union_in_cells(number, s, e)
         lead = np.flatnonzero(np.concatenate([[True], number[1:] != number[:-1]]))[at]
         same = np.concatenate([[False], at[1:] == at[:-1]]) if len(at) else np.empty(0, bool)
         final = np.concatenate([at[1:] != at[:-1], [True]]) if len(at) else np.empty(0, bool)
-        shift = t.column("cell").to_numpy()[lead].astype(np.int64) << CELL
+        shift = t.column("_cell").to_numpy()[lead].astype(np.int64) << CELL
         out = {k: t.column(k).take(pa.array(lead)) for k in keys}
         out |= {
             "begin_ms": pa.array(begin + shift),
@@ -136,36 +141,64 @@ def _changes(t: pa.Table, keys: list[str]) -> np.ndarray:
 
 
 def to_ms(seconds: Column) -> Column:
-    """Seconds as rounded integer milliseconds; NULL for NaN and for what no long can hold."""
+    """Seconds as rounded integer milliseconds; NULL for NaN and for what no long can hold (9e15 seconds and more)."""
     s = seconds.cast("double")
-    return F.when(F.abs(s) < 9.0e14, F.round(s * 1000).cast("bigint"))
+    return F.when(F.abs(s) < 9.0e15, F.round(s * 1000).cast("bigint"))
+
+
+def _high_blocks(rows: DataFrame, entity: list[str]) -> DataFrame:
+    """(entity, level, block): canonical blocks, in cells, of what long intervals cover between their end cells; two a
+    level at most."""
+    blocks = F.expr(
+        f"flatten(transform(sequence(0, {62 - CELL}), k -> filter(array("
+        "if(-shiftright(-_lo, k) < shiftright(_hi, k) and shiftright(_lo + shiftleft(1L, k) - 1, k) % 2 != 0, named_struct('level', k, 'block', -shiftright(-_lo, k)), null),"
+        "if(-shiftright(-_lo, k) < shiftright(_hi, k) and shiftright(_hi, k) % 2 != 0, named_struct('level', k, 'block', shiftright(_hi, k) - 1), null)), x -> x is not null)))"
+    )
+    inner = rows.filter(F.col("_last") - F.col("_first") > LONG).select(*entity, (F.col("_first") + 1).alias("_lo"), F.col("_last").alias("_hi"))
+    return inner.select(*entity, F.explode(blocks).alias("_b")).select(*entity, F.col("_b.level").alias("_level"), F.col("_b.block").alias("_block")).distinct()
 
 
 def _cell_periods(df: DataFrame, entity: list[str], start_ms: str, end_ms: str) -> DataFrame:
-    cell = F.explode(F.sequence(F.shiftright(F.col(start_ms), CELL), F.shiftright(F.col(end_ms) - 1, CELL)))
+    """Periods clipped to cells, with their neighbours. An interval goes to every cell that it meets or, where these are
+    more than LONG, to its end cells and to the few blocks of higher levels between them; cells in such a block are
+    covered and go."""
     ok = F.col(start_ms).isNotNull() & F.col(end_ms).isNotNull() & (F.col(end_ms) > F.col(start_ms))
     for k in entity:
         ok &= F.col(k).isNotNull()
-    base = F.shiftleft(F.col("cell"), CELL)
+    rows = df.filter(ok).select(*entity, F.col(start_ms).alias("_s"), F.col(end_ms).alias("_e"))
+    rows = rows.withColumns({"_first": F.shiftright("_s", CELL), "_last": F.shiftright(F.col("_e") - 1, CELL)})
+    long_ = F.col("_last") - F.col("_first") > LONG
+    cells = F.when(long_, F.array("_first", "_last")).otherwise(F.sequence("_first", F.when(long_, F.col("_first")).otherwise(F.col("_last"))))
+    base = F.shiftleft(F.col("_cell"), CELL)
     pieces = (
-        df.filter(ok)
-        .select(*entity, F.col(start_ms).alias("_s"), F.col(end_ms).alias("_e"), cell.alias("cell"))
+        rows.withColumn("_cell", F.explode(cells))
         .select(
             *entity,
-            "cell",
-            (F.greatest("_s", base) - base).cast("int").alias("s"),
-            (F.least(F.col("_e"), base + (1 << CELL)) - base).cast("int").alias("e"),
+            "_cell",
+            (F.greatest("_s", base) - base).cast("int").alias("_lo"),
+            (F.least(F.col("_e"), base + (1 << CELL)) - base).cast("int").alias("_hi"),
         )
-        .groupBy(*entity, "cell", "s")
-        .agg(F.max("e").alias("e"))
+        .groupBy(*entity, "_cell", "_lo")
+        .agg(F.max("_hi").alias("_hi"))
     )
-    schema = ", ".join([*(f"`{k}` {t}" for k, t in pieces.select(*entity).dtypes), "cell bigint", "begin_ms bigint", "end_ms bigint", "prev_end_ms bigint", "last_in_cell boolean"])
-    return (
-        pieces.select(*entity, "cell", "s", "e")
-        .repartition(*entity, "cell")
-        .sortWithinPartitions(*entity, "cell")
+    schema = ", ".join([*(f"`{k}` {t}" for k, t in pieces.select(*entity).dtypes), "_cell bigint", "begin_ms bigint", "end_ms bigint", "prev_end_ms bigint", "last_in_cell boolean"])
+    parts = (
+        pieces.select(*entity, "_cell", "_lo", "_hi")
+        .repartition(*entity, "_cell")
+        .sortWithinPartitions(*entity, "_cell")
         .mapInArrow(_cells_to_periods, schema)
     )
+    if rows.filter(long_).isEmpty():
+        return parts
+    high = cut(_high_blocks(rows, entity))
+    levels = [r[0] for r in high.select("_level").distinct().collect()]  # 43 at most
+    of = F.explode(F.array(*[F.struct(F.lit(k).alias("_level"), F.shiftright("_cell", k).alias("_block")) for k in levels])).alias("x")
+    met = parts.select(*entity, "_cell").distinct().select(*entity, "_cell", of).select(*entity, "_cell", "x.*")
+    covered = met.join(high, [*entity, "_level", "_block"], "left_semi").select(*entity, "_cell").distinct()
+    begin = F.expr(f"shiftleft(_block, _level + {CELL})")
+    end = F.expr(f"shiftleft(_block + 1, _level + {CELL})")
+    blocks = high.select(*entity, F.expr("shiftleft(_block, _level)").alias("_cell"), begin.alias("begin_ms"), end.alias("end_ms"), F.lit(None).cast("bigint").alias("prev_end_ms"), F.lit(True).alias("last_in_cell"))
+    return parts.join(covered, [*entity, "_cell"], "left_anti").unionByName(blocks)
 
 
 def merge_intervals(df: DataFrame, entity: list[str], start_ms: str, end_ms: str) -> DataFrame:
@@ -174,14 +207,15 @@ def merge_intervals(df: DataFrame, entity: list[str], start_ms: str, end_ms: str
     Rows with a NULL entity or bound, or whose end isn't after the start, are ignored; an empty input gives no period.
     """
     parts = _cell_periods(df, entity, start_ms, end_ms)
-    base = F.shiftleft(F.col("cell"), CELL)
+    base = F.shiftleft(F.col("_cell"), CELL)
     edge = (F.col("begin_ms") == base) | (F.col("end_ms") == base + (1 << CELL))
     # Only fragments that reach a cell border can be part of a longer period; the others stay with their cell.
     w = Window.partitionBy(*entity, "_at").orderBy("begin_ms")
-    new = ~(F.col("_edge") & F.coalesce(F.lag("end_ms").over(w) == F.col("begin_ms"), F.lit(False)))
+    reached = F.max("end_ms").over(w.rowsBetween(Window.unboundedPreceding, -1))  # blocks of higher levels may nest
+    new = ~(F.col("_edge") & F.coalesce(reached >= F.col("begin_ms"), F.lit(False)))
     return (
         parts.withColumn("_edge", edge)
-        .withColumn("_at", F.when(~F.col("_edge"), F.col("cell")))
+        .withColumn("_at", F.when(~F.col("_edge"), F.col("_cell")))
         .withColumn("_new", new.cast("int"))
         .withColumn("_run", F.sum("_new").over(w))
         .groupBy(*entity, "_at", "_run")

@@ -58,3 +58,29 @@ def test_periods_and_gaps(spark):
 def test_to_ms(spark):
     df = spark.createDataFrame([(1.0004,), (2.0006,), (float("nan"),), (None,), (1e300,)], "x double")
     assert [r[0] for r in df.select(to_ms(F.col("x"))).collect()] == [1000, 2001, None, None, None]
+
+
+def test_long_intervals_are_few_rows(spark):
+    """Ends written as other units: intervals of centuries among short ones, with entity columns named as inner ones."""
+    import random
+
+    from tessitura.operators import dyadic
+
+    rng = random.Random(7)
+    rows = []
+    for ent in ("a", "b", "c"):
+        for _ in range(60):
+            s = rng.randint(-(1 << 34), 1 << 34)
+            n = rng.choice([rng.randint(1, 5000), rng.randint(1, SPAN * 3), rng.randint(SPAN * 60, SPAN * 5000) if ent != "c" else 7])
+            rows.append((ent, s, s + n))
+    rows += [("b", 0, 1_700_000_000_000), ("d", -(1 << 62), (1 << 62) + 5), ("d", 5, 9), ("e", 1 << 61, (1 << 61) + 3), (None, 0, 5)]
+    df = spark.createDataFrame(rows, "s string, cell long, e long")
+    got = {}
+    for r in merge_intervals(df, ["s"], "cell", "e").collect():
+        got.setdefault(r.s, []).append((r.begin_ms, r.end_ms))
+    want = {k: brute([(a, b) for x, a, b in rows if x == k]) for k in "abcde"}
+    assert {k: sorted(v) for k, v in got.items()} == want
+    gaps = sorted((r.s, r.gap_start_ms, r.gap_end_ms) for r in interval_gaps(df, ["s"], "cell", "e").collect())
+    assert gaps == sorted((k, x[1], y[0]) for k, v in want.items() for x, y in zip(v, v[1:]))
+    one = spark.createDataFrame([("d", -(1 << 62), (1 << 62) + 5)], "s string, a long, b long")
+    assert dyadic._cell_periods(one, ["s"], "a", "b").count() < 100
