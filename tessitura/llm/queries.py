@@ -175,4 +175,15 @@ p AS (SELECT side, id, regexp_replace(regexp_replace(text, '(?m)^(\d+[ \t]*\r?\n
 w AS (SELECT side, id, regexp_extract_all(replace(lower(strip_accents(t)), 'đ', 'd'), '[\p{Han}\p{Hiragana}\p{Katakana}]|[\p{L}\p{N}]+') AS w FROM p),
 g AS (SELECT DISTINCT side, id, array_to_string(w[k : k + 11], ' ') AS g FROM (SELECT side, id, w, unnest(range(1, len(w) - 10)) AS k FROM w WHERE len(w) >= 12))
 SELECT DISTINCT d.id AS doc_id, i.id AS item_id FROM g d JOIN g i USING (g) WHERE d.side = 'd' AND i.side = 'i'""",
+    # neighbours compared one by one; each character becomes a byte, as DuckDB counts edits in bytes
+    "p1_found": r"""
+WITH c AS (SELECT audio_id, cue_idx::BIGINT AS i, arg_max(coalesce(text, ''), (loaded_at, cue_id)) AS text FROM transcript_cues WHERE audio_id IS NOT NULL AND cue_idx IS NOT NULL GROUP BY ALL),
+n AS (SELECT audio_id, i, regexp_replace(regexp_replace(regexp_replace(nfc_normalize(text), '<[^<>]*>', '', 'g'), '(\p{N})[^\p{L}\p{M}\p{N}]+(\p{N})', '\1' || chr(1) || '\2', 'g'), '(\p{N})[^\p{L}\p{M}\p{N}\x01]+(\p{N})', '\1' || chr(1) || '\2', 'g') AS x FROM c),
+k AS (SELECT audio_id, i, nullif(lower(regexp_replace(x, '[^\p{L}\p{M}\p{N}\x01]+', '', 'g')), '') AS k FROM n),
+p AS (SELECT *, lag(k) OVER (PARTITION BY audio_id ORDER BY i) AS b FROM k),
+l AS (SELECT *, CASE WHEN k IS NOT NULL AND b IS NOT NULL AND k <> b AND abs(length(k) - length(b)) <= 1 THEN regexp_extract_all(k, '(?s).') END AS u, CASE WHEN k <> b THEN regexp_extract_all(b, '(?s).') END AS v FROM p),
+s AS (SELECT audio_id, i, k IS NOT NULL AND (coalesce(k = b, false) OR coalesce(regexp_extract_all(k, '\p{N}+') = regexp_extract_all(b, '\p{N}+')
+  AND damerau_levenshtein(array_to_string(list_transform(u, lambda q: chr((35 + list_position(list_distinct(list_concat(u, v)), q))::INT)), ''), array_to_string(list_transform(v, lambda q: chr((35 + list_position(list_distinct(list_concat(u, v)), q))::INT)), '')) <= 1, false)) AS same FROM l),
+g AS (SELECT *, sum(CASE WHEN same THEN 0 ELSE 1 END) OVER (PARTITION BY audio_id ORDER BY i) AS g FROM s)
+SELECT audio_id, min(i) AS first_idx, max(i) AS last_idx FROM g GROUP BY audio_id, g HAVING count(*) >= 2""",
 }
