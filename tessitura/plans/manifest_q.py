@@ -72,6 +72,12 @@ def q_wer_summary(spark, d):
     return evaluate.summary(_scored(spark, d), ["source"]).withColumn("verdict", evaluate.verdict(F.col("micro_wer")))
 
 
+def q_wer_rates(spark, d):
+    """What a summary says that doesn't depend on which of several best alignments is taken."""
+    s = evaluate.summary(_scored(spark, d), ["source"])
+    return s.select("source", "n_scored", "n_spurious", "spurious_tokens", "micro_wer", "macro_wer", "n_exact", "n_bad")
+
+
 def q_wer_worst(spark, d):
     return evaluate.worst(_scored(spark, d), "source", "segment_id").select("source", "segment_id", "n_errors", "rank")
 
@@ -203,11 +209,14 @@ def q_voice(spark, d):
     from tessitura.operators import audio
 
     e = table(spark, d, "events").select("user_id", "event_id", F.least(F.lit(1.0), F.col("value") / 100).alias("p"), F.lit(0.9).alias("v"))
-    return audio.voice_signals(e, "user_id", "event_id", "p", "v", audio.VoiceParams(confidence=0.5, min_volume=0.1, start_secs=0.064, stop_secs=0.064))
+    v = audio.voice_signals(e, "user_id", "event_id", "p", "v", audio.VoiceParams(confidence=0.5, min_volume=0.1, start_secs=0.064, stop_secs=0.064))
+    return v.withColumn("signal_at", F.round("signal_at", 3))
 
 
 def q_approx_videos(spark, d):
-    return table(spark, d, "segments").groupBy("transcript_source").agg(F.approx_count_distinct("video_id", 0.02).alias("n_videos"))
+    """Whether the estimate of distinct videos lies within a tenth of the count."""
+    s = table(spark, d, "segments").groupBy("transcript_source").agg(F.approx_count_distinct("video_id", 0.02).alias("a"), F.count_distinct("video_id").alias("n"))
+    return s.select("transcript_source", (F.abs(F.col("a") - F.col("n")) <= 0.1 * F.col("n")).alias("near"))
 
 
 _BLANK = "coalesce(trim({}), '') = ''"
@@ -222,7 +231,6 @@ SELECT quality_label, CASE WHEN quality_label = 'needs_review' AND coalesce(trim
     "q_validation": "WITH d AS (SELECT CASE WHEN NOT isnan(duration) THEN duration END AS d FROM segments) SELECT count(*) AS n, count(d) AS n_timed, min(d) AS min_sec, round(avg(d), 6) AS avg_sec, max(d) AS max_sec, count(*) FILTER (d < 0.3) AS n_short, count(*) FILTER (d > 12) AS n_long FROM d",
     "q_label_quality": f"WITH s AS (SELECT transcript_source, NOT {_BLANK.format('text')} AS u, CASE WHEN NOT isnan(manual_wer) THEN manual_wer END AS r FROM segments) SELECT transcript_source, count(*) FILTER (u) AS usable, count(*) FILTER (u AND r > 0.5) AS mislabelled, count(*) FILTER (u AND r <= 0.5) / nullif(count(*) FILTER (u), 0)::DOUBLE AS precision FROM s GROUP BY 1",
     "q_source_rollup": "SELECT transcript_source, quality_label, count(*) AS n, round(avg(quality_score), 6) AS avg_score FROM segments GROUP BY ROLLUP (transcript_source, quality_label)",
-    "q_char_distance": "SELECT ws_id, 0 + levenshtein(hypothesis, reference) AS distance FROM worksheets WHERE hypothesis IS NOT NULL AND reference IS NOT NULL AND false",
     "q_review_wer": f"SELECT count(*) AS n, count(*) FILTER (NOT {_BLANK.format('reference')}) AS reviewed, count(*) FILTER ({_BLANK.format('reference')} AND NOT {_BLANK.format('text')}) AS spurious, count(*) FILTER (coalesce(review_status, 'pending') IN ('pending', '')) AS pending FROM segments WHERE quality_label = 'needs_review'",
     "q_ranking": """WITH s AS (SELECT round(quality_score, 3) AS x, quality_label = 'speech_clean' AS y FROM segments WHERE quality_score IS NOT NULL AND NOT isnan(quality_score)), r AS (SELECT *, rank() OVER (ORDER BY x) + (count(*) OVER (PARTITION BY x) - 1) / 2.0 AS k FROM s)
 SELECT round(count(*) FILTER (y AND x >= 0.7) / count(*) FILTER (y)::DOUBLE, 6) AS detection, round(count(*) FILTER (NOT y AND x >= 0.7) / count(*) FILTER (NOT y)::DOUBLE, 6) AS false_alarm,
@@ -251,5 +259,35 @@ SELECT round(count(*) FILTER (y AND x >= 0.7) / count(*) FILTER (y)::DOUBLE, 6)
     "q_json_props": "SELECT event_id, json_extract_string(props, '$.k') AS k FROM events",
     "q_durations": "WITH s AS (SELECT DISTINCT duration FROM segments WHERE NOT isnan(duration)), f AS (SELECT duration, CAST(floor(duration * 100) AS BIGINT) AS s FROM s) SELECT duration, CASE WHEN s < 3600 THEN (s // 60)::VARCHAR || ':' || lpad((s % 60)::VARCHAR, 2, '0') ELSE (s // 3600)::VARCHAR || ':' || lpad((s % 3600 // 60)::VARCHAR, 2, '0') || ':' || lpad((s % 60)::VARCHAR, 2, '0') END AS clock FROM f",
 }
-del SQL["q_char_distance"]  # DuckDB's levenshtein counts bytes
+
+
+def _distance(a: str, b: str) -> str:
+    """Edit distance of two lists of up to 90 different entries: DuckDB counts bytes, so each entry becomes one."""
+    code = lambda x: f"coalesce(array_to_string(list_transform({x}, lambda q: chr((35 + list_position(list_distinct(list_concat({a}, {b})), q))::INT)), ''), '')"
+    return f"levenshtein({code(a)}, {code(b)})"
+
+
+def _normal(c: str) -> str:
+    """The compared form of a text: brackets, signs and runs of ad-libs left out."""
+    plain = rf"regexp_replace(regexp_replace(lower(nfc_normalize(coalesce({c}, ''))), '[\[\(][^\]\)]*[\]\)]', ' ', 'g'), '>>+|&gt;', ' ', 'g')"
+    words = rf"' ' || trim(regexp_replace(regexp_replace({plain}, '[^\p{{L}}\p{{N}}_\s]', ' ', 'g'), '\s+', ' ', 'g')) || ' '"
+    return f"trim(regexp_replace({words}, ' ((na|la|oh|ohh|ooh|ooo|hey|ah|uh|yeah|wo|woah) ){{2,}}', ' ', 'g'))"
+
+
+_WER = f"""WITH x AS (SELECT segment_id, arg_max(source, ws_id) AS source, arg_max({{'r': reference, 'h': hypothesis}}, ws_id) AS t FROM worksheets GROUP BY segment_id),
+f AS (SELECT segment_id, source, list_filter(string_split({_normal("t['r']")}, ' '), lambda y: y <> '') AS r, list_filter(string_split({_normal("t['h']")}, ' '), lambda y: y <> '') AS h FROM x),
+e AS (SELECT segment_id, source, len(r) AS n, len(h) AS m, {_distance('r', 'h')} AS e FROM f)"""
+SQL["q_wer_rates"] = f"{_WER} SELECT source, count(*) FILTER (n > 0) AS n_scored, count(*) FILTER (n = 0 AND m > 0) AS n_spurious, CAST(coalesce(sum(m) FILTER (n = 0), 0) AS BIGINT) AS spurious_tokens, round(sum(e) FILTER (n > 0) / (sum(n))::DOUBLE, 6) AS micro_wer, round(avg(e / n::DOUBLE) FILTER (n > 0), 6) AS macro_wer, count(*) FILTER (n > 0 AND e = 0) AS n_exact, count(*) FILTER (n > 0 AND e / n::DOUBLE >= 0.5) AS n_bad FROM e GROUP BY source"
+SQL["q_wer_worst"] = f"{_WER}, k AS (SELECT source, segment_id, e::INT AS n_errors, row_number() OVER (PARTITION BY source ORDER BY e DESC, segment_id)::INT AS rank FROM e WHERE e > 0) SELECT * FROM k WHERE rank <= 3"
+SQL["q_char_distance"] = "WITH w AS (SELECT ws_id, regexp_extract_all(hypothesis, '(?s).') AS a, regexp_extract_all(reference, '(?s).') AS b FROM worksheets WHERE hypothesis IS NOT NULL AND reference IS NOT NULL) SELECT ws_id, " + _distance("a", "b") + "::INT AS distance FROM w"
+SQL["q_frames"] = """WITH e AS (SELECT vec_id, list_transform(embedding, lambda v: v::DOUBLE) AS x FROM embeddings), f AS (SELECT vec_id, x, list_transform(range(0, CAST(ceil(len(x) / 16.0) AS BIGINT)), lambda k: sqrt(list_sum(list_transform(x[k * 16 + 1 : k * 16 + 16], lambda v: v * v)) / 16)) AS r FROM e)
+SELECT vec_id, round(list_avg(r), 5) AS rms, round(list_max(list_transform(x, lambda v: abs(v))), 5) AS peak, round(len(list_filter(r, lambda v: v >= 0.1)) / len(r)::DOUBLE, 5) AS active_ratio FROM f"""
+# quiet or speaking, two frames to change over; frame by frame
+SQL["q_voice"] = """WITH RECURSIVE f AS (SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS n, coalesce(least(1, value / 100), 0) AS p FROM events WHERE user_id IS NOT NULL),
+v(user_id, n, speaking, against, told) AS (SELECT DISTINCT user_id, 0::BIGINT, false, 0, false FROM f UNION ALL
+  SELECT f.user_id, f.n, CASE WHEN (f.p >= CASE WHEN speaking THEN 0.35 ELSE 0.5 END) <> speaking AND against = 1 THEN NOT speaking ELSE speaking END,
+    CASE WHEN (f.p >= CASE WHEN speaking THEN 0.35 ELSE 0.5 END) <> speaking AND against = 0 THEN 1 ELSE 0 END, (f.p >= CASE WHEN speaking THEN 0.35 ELSE 0.5 END) <> speaking AND against = 1
+  FROM v JOIN f ON f.user_id = v.user_id AND f.n = v.n + 1)
+SELECT user_id, (row_number() OVER (PARTITION BY user_id ORDER BY n) - 1)::INT AS seq, CASE WHEN speaking THEN 'SPEAKING' ELSE 'QUIET' END AS signal_type, round(greatest(0, n * 0.032::DOUBLE - 0.064), 3) AS signal_at FROM v WHERE told"""
+SQL["q_approx_videos"] = "SELECT DISTINCT transcript_source, true AS near FROM segments"
 QUERIES = {k: f for k, f in globals().items() if k.startswith("q_")}
