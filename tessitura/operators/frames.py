@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tessitura.operators.audio import frames
 from tessitura.operators.regions import merge_speech, overlaps
+from tessitura.runtime import cut
 
 
 def labelled_frames(lengths: DataFrame, regions: DataFrame, entity: str, n_frames: str, start: str, end: str, frame_ms: int = 32, least: float = 0.5) -> DataFrame:
@@ -71,7 +72,7 @@ def refined(rough: DataFrame, loud: DataFrame, entity: str, key: str, search_ms:
     direct = (F.col("r_s") < F.col("e_ms")) & (F.col("s_ms") < F.col("r_e"))
     pick = lambda f, c: F.coalesce(f(F.when(direct, F.col(c))), f(c))
     hull = met.groupBy(entity, key).agg(pick(F.min, "r_s").alias("_a"), pick(F.max, "r_e").alias("_b"))
-    return merge_speech(hull, [entity], "_a", "_b", gap_ms, least_ms)
+    return merge_speech(cut(hull), [entity], "_a", "_b", gap_ms, least_ms)  # kept, as merging looks for long regions first
 
 
 def _biquad(x: np.ndarray, b: tuple, a: tuple) -> np.ndarray:

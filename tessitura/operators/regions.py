@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessitura.operators.dyadic import interval_gaps, merge_intervals
+from tessitura.runtime import cut
 
 #: Width of the bins on which intervals meet.
 BIN_MS = 60_000
@@ -33,19 +34,47 @@ def pad_regions(df: DataFrame, entity: list[str], start: str, end: str, pad_ms:
     return merge_speech(wide, entity, "_a", "_b", gap_ms, least_ms)
 
 
-def tile(df: DataFrame, entity: list[str], start: str, end: str) -> DataFrame:
-    """(entity, label, begin_ms, end_ms): speaking periods and the quiet between them and before the first."""
+def _marks(df: DataFrame, entity: list[str], durations: DataFrame | None) -> DataFrame:
+    """Intervals _a, _b just outside the recordings of df: before 0 and, where durations (entity, duration_ms) tells,
+    from the end on, so that what lies between them and the regions is a gap."""
+    each = df.select(*entity).distinct()
+    out = each.select(*entity, F.lit(-1).cast("bigint").alias("_a"), F.lit(0).cast("bigint").alias("_b"))
+    if durations is None:
+        return out
+    ends = durations.select(*entity, F.col("duration_ms").cast("bigint").alias("_a")).withColumn("_b", F.col("_a") + 1)
+    whole = durations.select(*entity, F.lit(-1).cast("bigint").alias("_a"), F.lit(0).cast("bigint").alias("_b"))
+    return out.unionByName(ends).unionByName(whole)
+
+
+def within(df: DataFrame, entity: list[str], start: str, end: str, durations: DataFrame) -> DataFrame:
+    """df with start and end clamped to 0 and the recording's duration_ms; what is empty then goes. Recordings without a
+    duration are clamped at 0 only."""
+    d = durations.select(*[F.col(k).alias(f"_d_{k}") for k in entity], "duration_ms")
+    on = None
+    for k in entity:
+        one = F.col(k) == F.col(f"_d_{k}")
+        on = one if on is None else on & one
+    j = df.join(d, on, "left").withColumns({start: F.greatest(F.lit(0), F.col(start)), end: F.least(F.col(end), F.col("duration_ms"))})
+    return j.filter(F.col(end) > F.col(start)).select(df.columns)
+
+
+def tile(df: DataFrame, entity: list[str], start: str, end: str, durations: DataFrame | None = None) -> DataFrame:
+    """(entity, label, begin_ms, end_ms): speaking periods and the quiet between them, before the first and, where
+    durations tells, after the last; recordings that only durations has are quiet throughout."""
+    if durations is not None:
+        df = within(df, entity, start, end, durations)
     periods = merge_intervals(df, entity, start, end)
-    zero = df.select(*entity).distinct().select(*entity, F.lit(-1).cast("bigint").alias("_a"), F.lit(0).cast("bigint").alias("_b"))
-    quiet = interval_gaps(df.select(*entity, F.col(start).alias("_a"), F.col(end).alias("_b")).unionByName(zero), entity, "_a", "_b")
+    quiet = interval_gaps(df.select(*entity, F.col(start).alias("_a"), F.col(end).alias("_b")).unionByName(_marks(df, entity, durations)), entity, "_a", "_b")
     return periods.select(*entity, F.lit("speaking").alias("label"), "begin_ms", "end_ms").unionByName(
         quiet.select(*entity, F.lit("quiet").alias("label"), F.col("gap_start_ms").alias("begin_ms"), F.col("gap_end_ms").alias("end_ms"))
     )
 
 
-def silences(df: DataFrame, entity: list[str], start: str, end: str, pad_ms: int = 100, least_ms: int = 32) -> DataFrame:
-    """Pauses between padded regions of at least least_ms."""
+def silences(df: DataFrame, entity: list[str], start: str, end: str, pad_ms: int = 100, least_ms: int = 32, durations: DataFrame | None = None) -> DataFrame:
+    """Pauses between padded regions of at least least_ms; with durations, also before the first and after the last."""
     wide = df.select(*entity, (F.col(start) - pad_ms).alias("_a"), (F.col(end) + pad_ms).alias("_b"))
+    if durations is not None:
+        wide = wide.unionByName(_marks(df, entity, durations))
     return interval_gaps(wide, entity, "_a", "_b").filter(F.col("gap_end_ms") - F.col("gap_start_ms") >= least_ms)
 
 
@@ -98,12 +127,41 @@ def align_units(units: DataFrame, regions: DataFrame, entity: str, unit_id: str,
     return out.filter(F.col("end_ms") - F.col("begin_ms") >= least_ms)
 
 
-def pair_events(df: DataFrame, entity: str, order: str, kind: str, at: str) -> DataFrame:
-    """(entity, start, end): opened by the first SPEAKING since the last QUIET, closed by the next QUIET (NULL if none)."""
+def pair_events(df: DataFrame, entity: str, order: str, kind: str, at: str, durations: DataFrame | None = None) -> DataFrame:
+    """(entity, start, end): opened by the first SPEAKING since the last QUIET, closed by the next QUIET, else by the
+    recording's duration (column duration of durations; NULL without one). With durations, both are clamped to it and
+    what is empty then goes."""
     w = Window.partitionBy(entity).orderBy(order)
     group = F.coalesce(F.sum((F.col(kind) == "QUIET").cast("int")).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     out = df.withColumn("_g", group).groupBy(entity, "_g").agg(F.min(F.when(F.col(kind) == "SPEAKING", F.col(at))).alias("start"), F.min(F.when(F.col(kind) == "QUIET", F.col(at))).alias("end"))
-    return out.filter(F.col("start").isNotNull()).drop("_g")
+    out = out.filter(F.col("start").isNotNull()).drop("_g")
+    if durations is None:
+        return out
+    j = out.join(durations.select(F.col(entity).alias("_d"), "duration"), F.col(entity) == F.col("_d"), "left")
+    j = j.withColumn("start", F.greatest(F.lit(0), F.col("start"))).withColumn("end", F.least(F.coalesce("end", "duration"), "duration"))
+    return j.filter(F.col("end").isNull() | (F.col("end") > F.col("start"))).select(entity, "start", "end")
+
+
+def voiced_tiles(frames: DataFrame, entity: str, order: str, probability: str, volume: str, durations: DataFrame, loud: DataFrame | None = None, params=None, gap_ms: int = 200, least_ms: int = 250, pad_ms: int = 100, search_ms: int = 700) -> DataFrame:
+    """(entity, label, begin_ms, end_ms): a recording's frames to speaking and quiet tiles of its duration_ms.
+
+    The voice machine's signals are paired, moved to the loud regions (entity, r_s, r_e) where these are given, merged,
+    padded within the recording and completed by what is quiet.
+    """
+    from tessitura.operators.audio import VoiceParams, voice_signals
+    from tessitura.operators.frames import refined
+
+    signals = voice_signals(frames, entity, order, probability, volume, params or VoiceParams())
+    lengths = durations.select(entity, (F.col("duration_ms") / 1000).alias("duration"))
+    speech = pair_events(signals, entity, "seq", "signal_type", "signal_at", lengths)
+    ms = lambda c: F.round(F.col(c) * 1000).cast("bigint")
+    rough = cut(speech.select(entity, ms("start").alias("s_ms"), ms("end").alias("e_ms")))  # read several times below
+    if loud is not None:
+        rough = refined(rough.withColumn("_key", F.concat_ws(":", "s_ms", "e_ms")), loud, entity, "_key", search_ms, gap_ms, least_ms).select(entity, F.col("begin_ms").alias("s_ms"), F.col("end_ms").alias("e_ms"))
+    merged = merge_speech(rough, [entity], "s_ms", "e_ms", gap_ms, least_ms)
+    wide = merged.select(entity, (F.col("begin_ms") - pad_ms).alias("_s"), (F.col("end_ms") + pad_ms).alias("_e"))
+    padded = cut(merge_speech(within(wide, [entity], "_s", "_e", durations), [entity], "_s", "_e", gap_ms, least_ms))
+    return tile(padded, [entity], "begin_ms", "end_ms", durations)
 
 
 def _islands(df: DataFrame, entity: str, order: str, mask: str) -> DataFrame:

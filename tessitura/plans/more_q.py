@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tessitura.functions import align
 from tessitura.functions import formats as fmt
 from tessitura.functions import text as tx
-from tessitura.operators import captions, exports, frames, jobs, reports, segments, select
+from tessitura.operators import audio, captions, exports, frames, jobs, regions, reports, segments, select
 from tessitura.operators.dyadic import to_ms
 from tessitura.plans.captions_q import _E, _FORM, _MS, _S, _UNITS, _align, _region_rows
 from tessitura.runtime import table
@@ -127,6 +127,30 @@ def q_refined(spark, d):
     return frames.refined(_region_ms(spark, d).filter("e_ms > s_ms"), c, "audio_id", "region_id")
 
 
+def _durations(spark, d):
+    c = table(spark, d, "transcript_cues").filter("audio_id is not null")
+    return c.groupBy("audio_id").agg(F.max(to_ms(F.col("end_sec"))).alias("duration_ms")).filter("duration_ms > 0")
+
+
+def q_tiles_of_recordings(spark, d):
+    return regions.tile(_region_ms(spark, d), ["audio_id"], "s_ms", "e_ms", _durations(spark, d))
+
+
+def q_silences_of_recordings(spark, d):
+    r = regions.within(_region_ms(spark, d), ["audio_id"], "s_ms", "e_ms", _durations(spark, d))
+    return regions.silences(r, ["audio_id"], "s_ms", "e_ms", durations=_durations(spark, d))
+
+
+def q_voiced_tiles(spark, d):
+    """Speaking and quiet tiles of each user's events, read as frames of 32 ms."""
+    e = table(spark, d, "events").filter("user_id is not null").select("user_id", "event_id", F.least(F.lit(1.0), F.col("value") / 100).alias("p"), F.lit(0.9).alias("v"))
+    n = e.groupBy("user_id").agg((F.count("*") * 32).alias("duration_ms"))
+    p = audio.VoiceParams(confidence=0.5, min_volume=0.1, start_secs=0.064, stop_secs=0.064)
+    t = regions.voiced_tiles(e, "user_id", "event_id", "p", "v", n, params=p, gap_ms=64, least_ms=64, pad_ms=32)
+    # tiles fill their recording
+    return t.groupBy("user_id").agg(F.sum(F.col("end_ms") - F.col("begin_ms")).alias("total_ms"), F.min("begin_ms").alias("first_ms"), F.max("end_ms").alias("last_ms"))
+
+
 def _levels(spark, d):
     e = table(spark, d, "events").filter("user_id is not null")
     n = F.row_number().over(Window.partitionBy("user_id").orderBy("event_id")) - 1
@@ -348,6 +372,12 @@ m AS (SELECT r.audio_id, region_id, rs, re, rs < e AND s < re AS d FROM r JOIN c
 h AS (SELECT audio_id, region_id, coalesce(min(rs) FILTER (d), min(rs)) AS s, coalesce(max(re) FILTER (d), max(re)) AS e FROM m GROUP BY 1, 2), i AS (SELECT DISTINCT audio_id, s, e FROM h WHERE e - s >= 250),
 p AS (SELECT *, max(e) OVER (PARTITION BY audio_id ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pe FROM i), g AS (SELECT *, sum(CASE WHEN pe IS NULL OR s - pe > 200 THEN 1 ELSE 0 END) OVER (PARTITION BY audio_id ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS k FROM p)
 SELECT audio_id, min(s) AS begin_ms, max(e) AS end_ms FROM g GROUP BY audio_id, k""",
+    "q_tiles_of_recordings": f"""WITH d AS (SELECT audio_id, max({_E}) AS d FROM transcript_cues WHERE audio_id IS NOT NULL GROUP BY 1 HAVING max({_E}) > 0), r AS (SELECT s.audio_id, greatest(0, {_S}) AS s, least(coalesce(d, {_E}), {_E}) AS e FROM speech_regions s LEFT JOIN d ON s.audio_id = d.audio_id WHERE s.audio_id IS NOT NULL),
+i AS (SELECT DISTINCT * FROM r WHERE e > s), m AS (SELECT *, max(e) OVER (PARTITION BY audio_id ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pe FROM i), g AS (SELECT *, sum(CASE WHEN pe IS NULL OR s > pe THEN 1 ELSE 0 END) OVER (PARTITION BY audio_id ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS k FROM m),
+p AS (SELECT audio_id, min(s) AS a, max(e) AS z FROM g GROUP BY audio_id, k), q AS (SELECT audio_id, a, z FROM p UNION ALL SELECT audio_id, 0, 0 FROM (SELECT audio_id FROM p UNION SELECT audio_id FROM d) UNION ALL SELECT audio_id, d, d FROM d),
+h AS (SELECT audio_id, max(z) OVER (PARTITION BY audio_id ORDER BY a, z ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pz, a FROM q)
+SELECT audio_id, 'speaking' AS label, a AS begin_ms, z AS end_ms FROM p UNION ALL SELECT audio_id, 'quiet', pz, a FROM h WHERE a > pz""",
+    "q_voiced_tiles": "SELECT user_id, count(*) * 32 AS total_ms, 0::BIGINT AS first_ms, count(*) * 32 AS last_ms FROM events WHERE user_id IS NOT NULL GROUP BY 1",
     "q_energy_regions": """WITH l AS (SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS f, coalesce(value, 0) AS v FROM events WHERE user_id IS NOT NULL), p AS (SELECT *, max(v) OVER (PARTITION BY user_id) AS m FROM l),
 o AS (SELECT user_id, f FROM p WHERE m > 0 AND v >= greatest(0.0001, m * pow(10, -6.0 / 20))), g AS (SELECT *, CASE WHEN f - lag(f) OVER (PARTITION BY user_id ORDER BY f) - 1 <= 3 THEN 0 ELSE 1 END AS n FROM o),
 k AS (SELECT *, sum(n) OVER (PARTITION BY user_id ORDER BY f) AS k FROM g), r AS (SELECT user_id, min(f) AS a, max(f) + 1 AS b FROM k GROUP BY user_id, k HAVING max(f) + 1 - min(f) >= 3)

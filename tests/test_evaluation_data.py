@@ -90,6 +90,18 @@ def test_frames_labels_and_energy(spark):
     assert sorted(tuple(x) for x in frames.refined(rough, loud, "e", "k").collect()) == [("a", 900, 2300), ("a", 4000, 4600)]
 
 
+def test_tiles_of_whole_recordings(spark):
+    d = spark.createDataFrame([("a", 1000), ("b", 500)], "e string, duration_ms long")
+    r = spark.createDataFrame([("a", -50, 100), ("a", 400, 2000), ("c", 10, 20), ("a", None, 5)], "e string, s long, t long")
+    got = sorted(tuple(x) for x in regions.tile(r, ["e"], "s", "t", d).collect())
+    assert got == [("a", "quiet", 100, 400), ("a", "speaking", 0, 100), ("a", "speaking", 400, 1000), ("b", "quiet", 0, 500), ("c", "quiet", 0, 10), ("c", "speaking", 10, 20)]
+    got = sorted(tuple(x) for x in regions.silences(r, ["e"], "s", "t", 50, 32, d).collect())
+    assert ("b", 0, 500) in got and ("a", 150, 350) in got
+    ev = spark.createDataFrame([("a", 0, "SPEAKING", -0.1), ("a", 1, "QUIET", 0.4), ("a", 2, "SPEAKING", 0.9), ("b", 0, "SPEAKING", 7.0)], "e string, n int, k string, at double")
+    got = sorted(tuple(x) for x in regions.pair_events(ev, "e", "n", "k", "at", d.select("e", (F.col("duration_ms") / 1000).alias("duration"))).collect())
+    assert got == [("a", 0.0, 0.4), ("a", 0.9, 1.0)]
+
+
 def test_frames_of_signals(spark):
     sig = spark.createDataFrame([("a", [float(i) for i in range(10)])], "e string, x array<double>")
     reg = spark.createDataFrame([("a", 0.0, 0.5), ("a", 0.9, 2.0), ("a", 0.2, 0.3)], "e string, start double, end double")
