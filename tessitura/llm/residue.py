@@ -114,7 +114,7 @@ WEAK = regex.compile(
 )
 #: What a column's texts must hold (RE2) for an error or script message: the patterns themselves, freed of what RE2 reads
 #: otherwise; they may begin any unit.
-_begin = r"(?:^|\n|[.!?…。！？।]\s)\s*"
+_begin = r"(?:^|\n|[.!?…。！？।][\s\p{Z}])[\s\p{Z}]*"  # RE2's \s knows ASCII only
 MAY_FAIL = "(?i)" + "|".join(regex.sub(r"(?<!\[)\^", lambda _: _begin, p.pattern.removeprefix("(?i)").replace(r"\b", "")) for p in (ERROR, SCRIPT, WEAK))
 #: Lines of a stack trace; they tell neither for an error nor against it.
 TRACE = regex.compile(
