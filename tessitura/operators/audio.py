@@ -10,6 +10,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -162,17 +163,31 @@ class Voice:
 
 
 def voice_signals(df: DataFrame, entity: str, order: str, probability: str, volume: str, params: VoiceParams = VoiceParams()) -> DataFrame:
-    """(entity, seq, signal_type, signal_at) of each recording's frames in order. A recording is one group."""
+    """(entity, seq, signal_type, signal_at) of each recording's frames in order; frames of equal order go by probability,
+    then volume, those of NULL order last. A recording lies in one partition, but only its state is held: its frames
+    stream through in batches, so that it may have any length. NULL counts as 0, as does NaN, of which nothing is heard.
+    """
     kind = dict(df.dtypes)[entity]
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        v = Voice(params)
-        pdf = pdf.sort_values(order)
-        got = [s for p, x in zip(pdf[probability], pdf[volume]) if (s := v.feed(p, x))]
-        return pd.DataFrame({"entity": [pdf[entity].iloc[0]] * len(got), "seq": range(len(got)), "signal_type": [s for s, _ in got], "signal_at": [t for _, t in got]})
-
-    rows = df.filter(F.col(entity).isNotNull()).select(entity, order, F.coalesce(probability, F.lit(0.0)).alias(probability), F.coalesce(volume, F.lit(0.0)).alias(volume))
-    return rows.groupBy(entity).applyInPandas(run, f"entity {kind}, seq int, signal_type string, signal_at double").withColumnRenamed("entity", entity)
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, voice, seq = None, None, 0
+        for b in batches:
+            e, p, x = b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()
+            at, out = [], []
+            for i, k in enumerate(e):
+                if voice is None or k != now:
+                    now, voice, seq = k, Voice(params), 0
+                if s := voice.feed(p[i], x[i]):
+                    at.append(i)
+                    out.append((seq, *s))
+                    seq += 1
+            n, kinds, times = zip(*out) if out else ((), (), ())
+            yield pa.record_batch([b.column(0).take(pa.array(at, pa.int64())), pa.array(n, pa.int32()), pa.array(kinds, pa.string()), pa.array(times, pa.float64())], ["k", "seq", "signal_type", "signal_at"])
+
+    level = lambda c: F.coalesce(F.nanvl(F.col(c).cast("double"), F.lit(0.0)), F.lit(0.0))
+    rows = df.filter(F.col(entity).isNotNull()).select(F.col(entity).alias("k"), level(probability).alias("p"), level(volume).alias("v"), F.col(order).alias("o"))
+    rows = rows.repartition("k").sortWithinPartitions("k", F.asc_nulls_last("o"), "p", "v").select("k", "p", "v")
+    return rows.mapInArrow(part, f"k {kind}, seq int, signal_type string, signal_at double").withColumnRenamed("k", entity)
 
 
 def augment(signals: Iterator[pd.DataFrame], column: str, key: str, seed: int = 42, snr_db: float = 20.0, gain_db: float = 3.0, noise_p: float = 0.2) -> Iterator[pd.DataFrame]:

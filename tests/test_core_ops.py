@@ -192,3 +192,20 @@ def test_ranking_equals_pairs(spark):
     p, n = [s for s, l in rows if l], [s for s, l in rows if not l]
     auc = sum((a > b) + (a == b) / 2 for a in p for b in n) / (len(p) * len(n))
     assert r.auc == pytest.approx(auc) and r.detection == pytest.approx(sum(a >= 0.5 for a in p) / len(p))
+
+
+def test_voice_signals_of_many_recordings(spark):
+    """Recordings over several batches of frames, shuffled, with NULL levels and a NULL entity, as the machine fed one by one."""
+    rng = random.Random(11)
+    p = audio.VoiceParams(confidence=0.5, min_volume=0.1, start_secs=0.064, stop_secs=0.064)
+    rows = [(k, i, rng.choice([None, 0.1, 0.4, 0.6, 1.0]), 0.9) for k in range(40) for i in range(25_000 if k == 7 else 300)] + [(None, 0, 1.0, 0.9), (99, 0, 0.0, None)]
+    want = []
+    for k in range(40):
+        v = audio.Voice(p)
+        got = [s for r in rows if r[0] == k if (s := v.feed(r[2] or 0.0, r[3]))]
+        want += [(k, i, s, round(t, 3)) for i, (s, t) in enumerate(got)]
+    df = spark.createDataFrame(rng.sample(rows, len(rows)), "e bigint, n int, p double, v double").repartition(3)
+    assert sorted((*r[:3], round(r[3], 3)) for r in audio.voice_signals(df, "e", "n", "p", "v", p).collect()) == want
+    assert audio.voice_signals(df.limit(0), "e", "n", "p", "v", p).count() == 0
+    nan = spark.createDataFrame([("a", i, x, 0.9) for i, x in enumerate([1.0, 1.0, float("nan"), float("nan")])], "e string, n int, p double, v double")
+    assert [r.signal_type for r in audio.voice_signals(nan, "e", "n", "p", "v", p).collect()] == ["SPEAKING", "QUIET"]
