@@ -18,17 +18,25 @@ from tessitura.runtime import cut
 def labelled_frames(lengths: DataFrame, regions: DataFrame, entity: str, n_frames: str, start: str, end: str, frame_ms: int = 32, least: float = 0.5) -> DataFrame:
     """(entity, frame_idx, label): label 1 where any single region covers ``least`` of the frame.
 
-    A region goes to the frames that it touches, so nothing is compared with all frames of a recording. Entities
-    without regions have label 0 everywhere; NULL, reversed and empty regions cover nothing.
+    Frames go in blocks of 64, a region's to those that it touches: what meets is a block's mask of covered frames, so
+    nothing is compared with all frames of a recording, and neither an array nor a shuffle has a row a frame. Entities
+    without regions have label 0 everywhere; NULL, reversed and empty regions cover nothing. All numbers are longs.
     """
-    all_ = lengths.filter(F.col(n_frames) > 0).select(entity, F.explode(F.sequence(F.lit(0), F.col(n_frames).cast("int") - 1)).alias("frame_idx"))
+    n = F.col(n_frames).cast("bigint")
+    upto = lambda k: F.floor((k - 1) / 64)
+    blocks = lengths.filter(n > 0).select(entity, n.alias("_n"), F.explode(F.sequence(F.lit(0).cast("bigint"), upto(n))).alias("_block"))
     ok = (F.col(end) > F.col(start)) & (F.col(end) > 0)
-    first = F.greatest(F.lit(0), F.floor(F.col(start) / frame_ms)).cast("int")
-    hit = regions.filter(ok).select(entity, start, end, F.explode(F.sequence(first, F.floor((F.col(end) - 1) / frame_ms).cast("int"))).alias("frame_idx"))
-    at = F.col("frame_idx") * frame_ms
-    covered = F.least(F.col(end), at + frame_ms) - F.greatest(F.col(start), at)
-    hit = hit.groupBy(entity, "frame_idx").agg((F.max(covered) >= least * frame_ms).alias("_on")).filter("_on")
-    return all_.join(hit, [entity, "frame_idx"], "left").select(entity, "frame_idx", F.coalesce(F.col("_on"), F.lit(False)).cast("int").alias("label"))
+    first, last = F.greatest(F.lit(0).cast("bigint"), F.floor(F.col(start) / frame_ms)), F.floor((F.col(end) - 1) / frame_ms)
+    met = regions.filter(ok).select(entity, start, end, first.alias("_a"), last.alias("_z"))
+    met = met.select("*", F.explode(F.sequence(F.floor(F.col("_a") / 64), F.floor(F.col("_z") / 64))).alias("_block"))
+    inside = F.sequence(F.greatest(F.col("_a"), F.col("_block") * 64), F.least(F.col("_z"), F.col("_block") * 64 + 63))
+    covered = lambda i: F.least(F.col(end), (i + 1) * frame_ms) - F.greatest(F.col(start), i * frame_ms)
+    bit = lambda i: F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(i, F.lit(64)).cast("int"))
+    mask = F.aggregate(F.filter(inside, lambda i: covered(i) >= least * frame_ms), F.lit(0).cast("bigint"), lambda m, i: m.bitwiseOR(bit(i)))
+    hit = met.select(entity, "_block", mask.alias("_m")).filter("_m <> 0").groupBy(entity, "_block").agg(F.bit_or("_m").alias("_m"))
+    each = F.sequence(F.col("_block") * 64, F.least(F.col("_n") - 1, F.col("_block") * 64 + 63))
+    out = blocks.join(hit, [entity, "_block"], "left").select(entity, "_m", F.explode(each).alias("frame_idx"))
+    return out.select(entity, "frame_idx", F.when(F.col("_m").bitwiseAND(bit(F.col("frame_idx"))) != 0, 1).otherwise(0).alias("label"))
 
 
 def region_frames(signals: DataFrame, regions: DataFrame, entity: str, signal: str, rate: int, label: int, size: int = 512) -> DataFrame:

@@ -198,3 +198,19 @@ def test_numbers_survive_many_ties(spark):
     assert got == list(range(1000))
     assert {r.label_id for r in jobs.label_ids(x.select(F.col("id").cast("string").alias("l")), "l", {"5": 3}).collect()} == set(range(1000))
     assert regions.chunks(spark.createDataFrame([], "s long, e long"), "s", "e", 10, 1).count() == 0
+
+
+def test_frames_of_recordings_longer_than_an_int_of_milliseconds(spark):
+    """Frames beyond 2^31 ms, regions over many blocks and at their borders, against a comparison of every pair."""
+    import random
+
+    rng = random.Random(2)
+    big = 2_600_000
+    n = spark.createDataFrame([("long", big), ("a", 200), ("b", 64), ("c", None), (None, 2)], "e string, n bigint")
+    spans = [(e, s, s + rng.choice([1, 500, 700, 70_000, 130_000])) for e, top in (("a", 200_000), ("b", 70_000)) for s in rng.sample(range(-900, top), 12)] + [("a", 7, None), (None, 0, 2000)]
+    far = [("long", (big - 70) * 1000, (big - 1) * 1000 + 500), ("long", 63_500, 64_500)]
+    out = frames.labelled_frames(n, spark.createDataFrame(spans + far, "e string, s bigint, t bigint"), "e", "n", "s", "t", 1000).cache()
+    got = {(r.e, r.frame_idx): r.label for r in out.filter("e is null or e <> 'long'").collect()}
+    on = lambda e, i: int(any(k == e and t and min(t, i * 1000 + 1000) - max(s, i * 1000) >= 500 for k, s, t in spans))
+    assert got == {(e, i): on(e, i) if e else 0 for e, m in (("a", 200), ("b", 64), (None, 2)) for i in range(m)}
+    assert out.filter("e = 'long'").agg(F.count("*"), F.count_distinct("frame_idx"), F.max("frame_idx"), F.sum("label")).head()[:] == (big, big, big - 1, 72)
