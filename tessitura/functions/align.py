@@ -1,8 +1,9 @@
 """Word and character alignment: operations, and counts of substitutions, deletions, insertions and matches.
 
 Costs go row by row, a row at once: what a cell takes from its left neighbour is a running minimum. Ties go to the
-diagonal, then to a deletion, then to an insertion. Only every so many rows are kept; the way back computes those
-between anew, so that memory grows with the width times the root of the height.
+diagonal, then to a deletion, then to an insertion. Equal ends are matched first, and of the rest only the diagonals that
+a best alignment can reach are computed, so that time grows with the length times the errors. Only every so many rows are
+kept; the way back computes those between anew, so that memory grows with the width times the root of the height.
 """
 
 from __future__ import annotations
@@ -24,43 +25,84 @@ def _codes(ref: list[str], hyp: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return tuple(np.array([number.setdefault(w, len(number)) for w in ws], np.int64) for ws in (ref, hyp))
 
 
-def _row(before: np.ndarray, r: int, hyp: np.ndarray, steps: np.ndarray) -> np.ndarray:
-    """The next row of costs."""
-    best = before + 1
-    best[1:] = np.minimum(best[1:], before[:-1] + (hyp != r))
+def _band(a: np.ndarray, b: np.ndarray, low: int, width: int, every: int) -> tuple[dict[int, np.ndarray], int]:
+    """(every so many rows of costs, the cost of the whole), on ``width`` diagonals from ``low`` on; at [i][k] is the cost
+    of the first i of a and the first i + low + k of b. Costs off the band count as too high ones."""
+    row = np.arange(low, low + width)
+    row = np.where(row < 0, len(a) + len(b) + 1, row)
+    kept = {0: row}
+    for i in range(1, len(a) + 1):
+        row = _row(row, a[i - 1], b, i + low)
+        if i % every == 0:
+            kept[i] = row
+    return kept, int(row[len(b) - len(a) - low])
+
+
+def _row(before: np.ndarray, r: int, b: np.ndarray, first: int) -> np.ndarray:
+    """The next row of costs, whose first cell is column ``first``."""
+    width = len(before)
+    same = np.zeros(width, bool)
+    lo, hi = max(first, 1), min(first + width, len(b) + 1)
+    if hi > lo:
+        same[lo - first : hi - first] = b[lo - 1 : hi - 1] == r
+    best = before + ~same
+    best[:-1] = np.minimum(best[:-1], before[1:] + 1)
+    steps = np.arange(width)
     return np.minimum.accumulate(best - steps) + steps
 
 
 def path(ref: list[str], hyp: list[str]) -> np.ndarray:
     """The operations of the best alignment, in order."""
     a, b = _codes(ref, hyp)
+    short = min(len(a), len(b))
+    differ = np.flatnonzero(a[len(a) - short :] != b[len(b) - short :])
+    tail = short - 1 - int(differ[-1]) if len(differ) else short  # equal ends: the way back goes along the diagonal
+    a, b = a[: len(a) - tail], b[: len(b) - tail]
     n, m = len(a), len(b)
-    steps = np.arange(m + 1)
-    every = max(1, int(n**0.5))
-    kept = {0: steps.copy()}
-    row = kept[0]
-    for i in range(1, n + 1):
-        row = _row(row, a[i - 1], b, steps)
-        if i % every == 0:
-            kept[i] = row
+    every, most = max(1, int(n**0.5)), abs(m - n) + 16
+    while True:  # a best alignment of at most ``most`` errors keeps to these diagonals, as do all that are as good
+        aside = (most - abs(m - n)) // 2
+        low = min(0, m - n) - aside
+        width = abs(m - n) + 2 * aside + 1
+        kept, cost = _band(a, b, low, width, every)
+        if cost <= most:
+            break
+        most = min(2 * most, cost)
     out, i, j = [], n, m
     rows: dict[int, np.ndarray] = {}
+
+    def at(i: int, j: int) -> int:
+        k = j - i - low
+        return int(rows[i][k]) if 0 <= k < width else n + m + 1
+
     while i or j:
         if i and i - 1 not in rows:
-            low = (i - 1) // every * every
-            rows = {low: kept[low]}
-            for k in range(low + 1, min(low + every, n) + 1):
-                rows[k] = _row(rows[k - 1], a[k - 1], b, steps)
-        if i and j and rows[i][j] == rows[i - 1][j - 1] + (a[i - 1] != b[j - 1]):
+            start = (i - 1) // every * every
+            rows = {start: kept[start]}
+            for k in range(start + 1, min(start + every, n) + 1):
+                rows[k] = _row(rows[k - 1], a[k - 1], b, k + low)
+        if not i:
+            out += [INS] * j
+            break
+        now = at(i, j)
+        if j and now == at(i - 1, j - 1) + (a[i - 1] != b[j - 1]):
             out.append(EQUAL if a[i - 1] == b[j - 1] else SUB)
             i, j = i - 1, j - 1
-        elif i and rows[i][j] == rows[i - 1][j] + 1:
+        elif now == at(i - 1, j) + 1:
             out.append(DEL)
             i -= 1
         else:
             out.append(INS)
             j -= 1
-    return np.array(out[::-1], np.int8)
+    return np.concatenate([np.array(out[::-1], np.int8), np.full(tail, EQUAL, np.int8)])
+
+
+def places(ref: list[str], hyp: list[str]) -> list[int]:
+    """For each reference word the place of the hypothesis word that it is aligned with or, where it has none, of the last
+    one before (the first at the begin); -1 less the place unless both are equal."""
+    ops = path(ref, hyp)
+    here = np.maximum(np.cumsum(ops != DEL) - 1, 0)
+    return np.where(ops == EQUAL, here, -1 - here)[ops != INS].tolist()
 
 
 def _window(ops: np.ndarray) -> np.ndarray:
@@ -112,6 +154,11 @@ def aligned_ops(ref: Column, hyp: Column) -> Column:
     return _per_pair(lambda r, h: [dict(zip(names, x)) for x in operations(r, h)], OPS)(ref, hyp)
 
 
+def aligned_places(ref: Column, hyp: Column) -> Column:
+    """places() of two arrays of strings: an integer a reference word."""
+    return _per_pair(places, "array<int>")(ref, hyp)
+
+
 def counts_of(ops: Column, windowed: bool = False) -> Column:
     """Counts of an array of operations."""
     pair = lambda x: x["op"].isin("EQUAL", "SUB")

@@ -100,15 +100,15 @@ def drafts(segments: DataFrame, lyrics: DataFrame, video: str, key: str, order:
     said = segments.select(video, key, F.struct(F.col(order).alias("o"), F.col(key).alias("k"), heard.alias("w")).alias("s"))
     per = said.groupBy(video).agg(F.array_sort(F.collect_list("s")).alias("s")).join(lyrics.select(video, shown_words(F.col("lyric")).alias("lyric")), video)
     flat = F.flatten(F.transform("s", lambda x, i: F.transform(x["w"], lambda w: F.struct(i.alias("at"), w.alias("w")))))
-    per = per.withColumn("heard", flat).withColumn("ops", align.aligned_ops(F.transform("lyric", lambda x: x["key"]), F.transform("heard", lambda x: x["w"])))
-    # outer, as the filter that the optimizer infers from an inner one would hold the Python function
-    ops = per.filter(F.size("heard") > 0).select(video, "lyric", "heard", F.posexplode_outer("ops").alias("n", "op")).filter(F.col("n").isNotNull())
-    here = F.get("heard", F.col("op.hyp_at"))["at"]
-    now = F.coalesce(F.last(here, ignorenulls=True).over(Window.partitionBy(video).orderBy("n")), F.get("heard", F.lit(0))["at"])
-    ops = ops.withColumn("_seg", now)
-    got = ops.groupBy(video, "_seg").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("op.ref_at").isNotNull(), F.struct(F.col("op.ref_at").alias("i"), F.get("lyric", F.col("op.ref_at"))["word"].alias("w"))))), lambda x: x["w"]), " ").alias("draft"),
-        F.count_if(F.col("op.op") == "EQUAL").alias("hits"),
+    at = align.aligned_places(F.transform("lyric", lambda x: x["key"]), F.transform("heard", lambda x: x["w"]))
+    per = per.withColumn("heard", flat).filter(F.size("heard") > 0).withColumn("at", at)
+    place = lambda i: F.get("at", i)
+    of = lambda x, i: F.struct(F.get("heard", F.when(place(i) < 0, -1 - place(i)).otherwise(place(i)))["at"].alias("seg"), x["word"].alias("w"), (place(i) >= 0).alias("same"))
+    # a row a word without its video's arrays; outer, as the filter that the optimizer infers from an inner one would hold the Python function
+    words = per.select(video, F.transform("lyric", of).alias("words")).select(video, F.posexplode_outer("words").alias("i", "x")).filter(F.col("i").isNotNull())
+    got = words.groupBy(video, F.col("x.seg").alias("_seg")).agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", F.col("x.w").alias("w")))), lambda x: x["w"]), " ").alias("draft"),
+        F.count_if("x.same").alias("hits"),
     )
     each = said.withColumn("_seg", F.row_number().over(Window.partitionBy(video).orderBy("s")) - 1)
     n = F.size("s.w")

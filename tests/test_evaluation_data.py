@@ -214,3 +214,33 @@ def test_frames_of_recordings_longer_than_an_int_of_milliseconds(spark):
     on = lambda e, i: int(any(k == e and t and min(t, i * 1000 + 1000) - max(s, i * 1000) >= 500 for k, s, t in spans))
     assert got == {(e, i): on(e, i) if e else 0 for e, m in (("a", 200), ("b", 64), (None, 2)) for i in range(m)}
     assert out.filter("e = 'long'").agg(F.count("*"), F.count_distinct("frame_idx"), F.max("frame_idx"), F.sum("label")).head()[:] == (big, big, big - 1, 72)
+
+
+def test_long_alignments_equal_a_matrix():
+    """Bands that are too narrow at first, ties at their edges, and 40,000 words without, or with a few, differences."""
+    rng = random.Random(3)
+    for _ in range(60):
+        ref = rng.choices("abcde", k=rng.randint(0, 120))
+        hyp = rng.choice([rng.choices("abcde", k=rng.randint(0, 120)), [w for w in ref if rng.random() > 0.1], ref[:20] + ref[60:], ref[30:] + ref[:30]])
+        ops = [o[0] for o in align.operations(ref, hyp)]
+        assert ops == matrix(ref, hyp)
+        last, want = -1, []
+        for o in ops:
+            last += o != "DEL"
+            if o != "INS":
+                want.append(max(last, 0) if o == "EQUAL" else -1 - max(last, 0))
+        assert align.places(ref, hyp) == want
+    words = [str(i % 9973) for i in range(40_000)]
+    assert not align.path(words, words).any()
+    some = [w for i, w in enumerate(words) if i not in (9, 20_000, 39_990)]
+    assert align.count(words, some) == (0, 3, 0, 39_997, 40_000, 39_997)
+
+
+def test_drafts_of_one_long_video_stay_linear(spark):
+    """600 segments of 20 words, and a lyric with a word more than is heard."""
+    segs = [("v", f"s{i:04}", " ".join(f"w{i}x{j}" for j in range(20))) for i in range(600)]
+    s = spark.createDataFrame(segs, "video string, seg string, text string")
+    lyric = spark.createDataFrame([("v", " ".join(t for _, _, t in segs) + " thêm")], "video string, lyric string")
+    out = reports.drafts(s, lyric, "video", "seg", "seg", "text")
+    got = {r.seg: (r.draft, r.rate) for r in out.collect()}
+    assert got == {k: (t + " thêm" * (k == "s0599"), 1.0) for _, k, t in segs}
