@@ -2,8 +2,8 @@
 
 A smoothed character n-gram model is trained on the clean records: those that no encode-decode chain applies to, in any
 script. Every candidate chain of a suspicious text is scored on the words that it changes; the likeliest is taken if it
-beats the words as they stand by more than the margin in nats a character. The margin is validated on clean records held
-out of the training and on what each encoding makes of them. Texts that hold a decoder's own sign of failure (U+FFFD, a
+beats the words as they stand by more than the margin in nats a character. The margin is validated on all clean records
+and on what each encoding makes of them, each record by the model of those that its hash puts into the other half. Texts that hold a decoder's own sign of failure (U+FFFD, a
 control character of the upper half) need no model.
 """
 
@@ -15,7 +15,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,11 +23,13 @@ from tessitura.llm import codepoints as cp
 from tessitura.llm.charmap import MULTI, SINGLE, image, undo
 
 BITS = 18
-#: Nats a character by which a candidate must beat the text as it stands, where too few texts are held out to say.
-MARGIN = 2.0
-#: One of so many texts is held out; at most HELD of them, those of the least hashes, validate the margin, which lies so
-#: far between the gains of clean texts and those of garbled ones.
-HOLD, HELD, BETWEEN = 50, 2_000, 0.4
+#: Nats a character by which a candidate must beat the text as it stands, where fewer than LEAST texts can say.
+MARGIN, LEAST = 2.0, 20
+#: Halves of the records, by hash; the margin's part of the way from 0 to the gains of nearly all garbled texts; steps of
+#: a nat in which gains are counted, and nats on either side of 0.
+FOLDS, BETWEEN, STEPS, SPAN = 2, 0.4, 4096, 32
+#: Words whose forms a task remembers.
+WORDS = 50_000
 
 _VIET = "àáảãạăằắẳẵặâầấẩẫậđèéẻẽẹêềếểễệìíỉĩịòóỏõọôồốổỗộơờớởỡợùúủũụưừứửữựỳýỷỹỵ"
 VIET = _VIET + _VIET.upper()
@@ -129,6 +130,14 @@ class Model:
             out += np.log((self.c3[_mix(k3)] + 4.0 * p2) / (self.c2[_mix(k2)] + 4.0))
         return out
 
+    def log_last(self, x: np.ndarray, y: np.ndarray, z: np.ndarray) -> np.ndarray:
+        """Log probabilities of the characters z after x and y."""
+        kx, ky, kz = (v.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) for v in (x, y, z))
+        k2 = kx * np.uint64(0xC2B2AE3D27D4EB4F) + ky
+        p1 = (self.c1[_mix(kz)] + 0.02) / (self.total + 20.0)
+        p2 = (self.c2[_mix(ky * np.uint64(0xC2B2AE3D27D4EB4F) + kz)] + 4.0 * p1) / (self.c1[_mix(ky)] + 4.0)
+        return np.log((self.c3[_mix(k2 * np.uint64(0xC2B2AE3D27D4EB4F) + kz)] + 4.0 * p2) / (self.c2[_mix(k2)] + 4.0))
+
     def logp(self, texts: list[str]) -> np.ndarray:
         """Sums of the log probabilities of the characters of each text, all in one pass."""
         if not texts:
@@ -158,82 +167,168 @@ def grams(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def count_grams(texts: list[str]) -> np.ndarray:
-    """Counts of all cells, trigrams first."""
+    """Counts of all cells, trigrams first; a text counts the same whatever texts it comes with."""
     out = np.zeros(3 << BITS, np.int64)
     for i in range(0, len(texts), 4000):
-        i1, i2, i3 = grams("  " + "  ".join(texts[i : i + 4000]).lower() + " ")
-        for k, x in ((0, i3), (1, i2), (2, i1)):
+        i1, i2, i3 = grams("  " + "  ".join(texts[i : i + 4000]).lower() + "  ")
+        for k, x in ((0, i3), (1, i2[1:]), (2, i1[2:])):
             out[k << BITS : (k + 1) << BITS] += np.bincount(x, minlength=1 << BITS)
     return out
 
 
-def train(df: DataFrame, text: str) -> np.ndarray:
-    """Counts over all clean records of df but those held out; only the cells (at most 3 * 2**BITS) come to the driver."""
+def train_folds(df: DataFrame, text: str) -> np.ndarray:
+    """Counts over all clean records of df, by half; only the cells (at most FOLDS * 3 * 2**BITS) come to the driver."""
+    size = 3 << BITS
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(3 << BITS, np.int64)
+        total = np.zeros(FOLDS * size, np.int64)
         known: dict[str, bool] = {}
         for b in batches:
-            b = b.filter(pc.and_(b.column(0).is_valid(), pc.invert(b.column(1))))
+            b = b.filter(b.column(0).is_valid())
+            fold = b.column(1).to_numpy(zero_copy_only=False)
             odd = suspicious(*cp.points(b.column(0)))
-            total += count_grams(b.column(0).filter(pa.array(~odd)).to_pylist())
-            more = []
-            for t in b.column(0).filter(pa.array(odd)).to_pylist():
+            more: list[list[str]] = [[] for _ in range(FOLDS)]
+            for t, f in zip(b.column(0).filter(pa.array(odd)).to_pylist(), fold[odd].tolist()):
                 if (clean := known.get(t)) is None:
                     clean = known[t] = not (_control.search(t) or _lossy.search(t) or candidates(t))
                 if clean:
-                    more.append(t)
-            total += count_grams(more)
+                    more[f].append(t)
+            for f in range(FOLDS):
+                own = total[f * size : (f + 1) * size]
+                own += count_grams(b.column(0).filter(pa.array(~odd & (fold == f))).to_pylist())
+                own += count_grams(more[f])
             if len(known) > 100_000:
                 known.clear()
         at = np.flatnonzero(total)
         yield pa.record_batch([pa.array(at.astype(np.int32)), pa.array(total[at])], ["cell", "n"])
 
-    rows = df.select(F.col(text).alias("t"), (F.pmod(F.xxhash64(text), F.lit(HOLD)) == 0).alias("held"))
+    rows = df.select(F.col(text).alias("t"), _fold("t").alias("fold"))
     rows = rows.mapInArrow(part, "cell int, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(3 << BITS, np.int64)
+    out = np.zeros(FOLDS * size, np.int64)
     out[rows.column("cell").to_numpy()] = rows.column("n").to_numpy()
-    return out
+    return out.reshape(FOLDS, size)
 
 
-def held_out(df: DataFrame, text: str) -> list[str]:
-    """At most HELD different clean texts with letters beyond ASCII that train() left out, the least by hash."""
+def _fold(text: str):
+    return F.pmod(F.xxhash64(text), F.lit(FOLDS)).cast("int")
 
-    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield b.filter(pa.array(~suspicious(*cp.points(b.column(0)))))
 
-    rows = df.select(F.col(text).alias("t")).filter((F.pmod(F.xxhash64("t"), F.lit(HOLD)) == 0) & F.col("t").rlike(r"[^\x00-\x7F]"))
-    return [r["t"] for r in rows.mapInArrow(part, "t string").distinct().orderBy(F.xxhash64("t"), "t").limit(HELD).collect()]
+def train(df: DataFrame, text: str) -> np.ndarray:
+    """Counts over all clean records of df."""
+    return train_folds(df, text).sum(axis=0)
 
 
-def garbled_forms(texts: list[str]) -> list[tuple[str, str]]:
-    """(text, what an encoding makes of its UTF-8 bytes) for each text and single-byte encoding."""
-    return [(t, bad) for t in texts for codec in SINGLE if (bad := "".join(image(c, codec) if c > "\x7f" else c for c in t)) != t]
+class _Image(dict):
+    """What an encoding makes of the UTF-8 bytes of a character, for str.translate."""
 
+    def __init__(self, codec: str):
+        self.codec = codec
 
-def fit_margin(counts: np.ndarray, held: list[str]) -> float:
-    """The margin between what chains gain on held-out clean texts (at most) and on their garbled forms (at least, but
-    for one in a thousand); MARGIN where fewer than 20 texts are held out."""
-    if len(held) < 20:
+    def __missing__(self, c: int) -> str:
+        out = self[c] = image(chr(c), self.codec) if c > 127 else chr(c)
+        return out
+
+
+class Gains:
+    """What undoing each single-byte encoding gains on texts that it garbled, in nats a character of the words beyond
+    ASCII, which are those that it changes.
+
+    A text's log probability is the sum of its words' own ones and of their first characters after the word before, so
+    that each distinct word is looked at once in each form: as it is, and as every encoding makes it.
+    """
+
+    def __init__(self, model: Model):
+        self.model, self.images = model, [None, *map(_Image, SINGLE)]
+        self.clear()
+
+    def clear(self) -> None:
+        self.known: dict[str, int] = {}
+        self.inner, self.size, self.first, self.last = (np.empty((len(self.images), 0)) for _ in range(4))
+
+    def _learn(self, words: list[str]) -> None:
+        cols = []
+        for of in self.images:
+            s = " " + "  ".join(words) + " "
+            s = (s.translate(of) if of is not None else s).lower()
+            u = np.frombuffer(s.encode("utf-32-le", "surrogatepass"), np.uint32)
+            ink = u != 32
+            begin, end = np.flatnonzero(ink[1:] & ~ink[:-1]) + 1, np.flatnonzero(ink[:-1] & ~ink[1:]) + 1
+            total = np.concatenate([[0.0], np.cumsum(self.model.log_last(u[:-2], u[1:-1], u[2:]))])
+            cols.append((total[end - 1] - total[begin - 1], end - begin, u[begin], u[end - 1]))
+        for name, new in zip(("inner", "size", "first", "last"), zip(*cols)):
+            setattr(self, name, np.concatenate([getattr(self, name), np.array(new, float)], axis=1))
+
+    def of(self, texts: list[str]) -> np.ndarray:
+        """Encodings x texts; texts without a word beyond ASCII are left out."""
+        if len(self.known) > WORDS:
+            self.clear()
+        said = [w for t in texts if (w := [x for x in t.split(" ") if not x.isascii()])]
+        if not said:
+            return np.empty((len(self.images) - 1, 0))
+        if new := [w for w in dict.fromkeys(w for ws in said for w in ws) if w not in self.known]:
+            self._learn(new)
+            self.known |= zip(new, range(len(self.known), len(self.known) + len(new)))
+        ids = np.array([self.known[w] for ws in said for w in ws])
+        n = np.array([len(ws) for ws in said])
+        begin = np.cumsum(n) - n
+        before = np.concatenate([[-1], ids[:-1]])
+        before[begin] = -1
+        pairs, where = np.unique((before + 1) << 32 | ids, return_inverse=True)
+        word, prev = pairs & 0xFFFFFFFF, (pairs >> 32) - 1
+        space = np.full(len(pairs), 32)
+        each = []
+        for k in range(len(self.images)):
+            after = np.where(prev < 0, 32, self.last[k, prev])
+            p = self.inner[k, word] + self.model.log_last(after, space, self.first[k, word])
+            each.append(np.add.reduceat(p[where], begin) / np.add.reduceat(self.size[k, ids] + 1, begin))
+        return each[0] - np.array(each[1:])
+
+    def counts(self, texts: list[str]) -> np.ndarray:
+        """How many gains there are of each step."""
+        step = np.clip(np.floor(self.of(texts) * STEPS), -SPAN * STEPS, SPAN * STEPS - 1).astype(np.int64) + SPAN * STEPS
+        return np.bincount(step.ravel(), minlength=2 * SPAN * STEPS)
+
+
+def margin_of(gained: np.ndarray) -> float:
+    """The margin between 0 and all gains but one in a thousand, given how many there are of each step. No chain applies to
+    a text that isn't suspicious, so what clean ones gain is 0."""
+    if gained.sum() < LEAST * len(SINGLE):
         return MARGIN
-    model = Model(counts)
+    high = (int(np.searchsorted(np.cumsum(gained), 0.001 * gained.sum())) - SPAN * STEPS) / STEPS
+    return BETWEEN * high if high > 0 else MARGIN
+
+
+def fit_margin(counts: np.ndarray, held: list[str]) -> float:
+    """The margin by clean texts that the model's counts don't hold; MARGIN where fewer than LEAST are given."""
+    return margin_of(Gains(Model(counts)).counts(held))
 
-    def gains(pairs: list[tuple[str, str]]) -> np.ndarray:
-        both = [changed(bad, good) for good, bad in pairs]
-        p = model.logp([x for xy in both for x in xy]).reshape(-1, 2)
-        n = np.array([(len(x) + 1, len(y) + 1) for x, y in both]).reshape(-1, 2)
-        return p[:, 1] / n[:, 1] - p[:, 0] / n[:, 0]
 
-    low = max([0.0, *gains([(other, t) for t in held for other in candidates(t)])])
-    high = float(np.quantile(gains(garbled_forms(held)), 0.001))
-    return low + BETWEEN * (high - low) if high > low else MARGIN
+def gained(df: DataFrame, text: str, folds: np.ndarray) -> np.ndarray:
+    """How many gains there are of each step on all texts that aren't suspicious, each by the other half's model."""
+    sent = df.sparkSession.sparkContext.broadcast(folds)
+
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of = [Gains(Model(sent.value.sum(axis=0) - sent.value[f])) for f in range(FOLDS)]
+        total = np.zeros(2 * SPAN * STEPS, np.int64)
+        for b in batches:
+            b = b.filter(pa.array(~suspicious(*cp.points(b.column(0)))))
+            fold = b.column(1).to_numpy(zero_copy_only=False)
+            for f in range(FOLDS):
+                total += of[f].counts(b.column(0).filter(pa.array(fold == f)).to_pylist())
+        at = np.flatnonzero(total)
+        yield pa.record_batch([pa.array(at.astype(np.int32)), pa.array(total[at])], ["step", "n"])
+
+    rows = df.select(F.col(text).alias("t"), _fold("t").alias("fold")).filter(F.col("t").isNotNull())
+    rows = rows.mapInArrow(part, "step int, n bigint").groupBy("step").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(2 * SPAN * STEPS, np.int64)
+    out[rows.column("step").to_numpy()] = rows.column("n").to_numpy()
+    return out
 
 
 def fit(df: DataFrame, text: str) -> tuple[np.ndarray, float]:
-    """(counts, margin) of the model of df's texts."""
-    counts = train(df, text)
-    return counts, fit_margin(counts, held_out(df, text))
+    """(counts, margin) of the model of df's texts: counts over all clean ones, the margin by all that aren't suspicious."""
+    folds = train_folds(df, text)
+    return folds.sum(axis=0), margin_of(gained(df, text, folds))
 
 
 def from_cp1258(text: str) -> str:

@@ -78,3 +78,28 @@ def test_utf16_and_more_code_pages(counts):
         bad = "".join(M.image(c, codec) if c > "\x7f" else c for c in TEXT)
         assert many([bad])[0] == [True]
     assert many([TEXT.replace("đ", "d").encode("utf-8")[:-(len(TEXT.replace("đ", "d").encode()) % 2) or None].decode("utf-16-le", "replace")])[0] == [True]
+
+
+def test_gains_equal_scoring_whole_texts(counts):
+    """Word by word, in batches that share words, as by the model on the changed words of each text."""
+    texts = [t for t in CLEAN[:3] + CLEAN[-7:] if not t.isascii()] + ["a  ô", "é", "ÔNG ấy đi"]
+    model = M.Model(counts)
+    of = M.Gains(model)
+    got = [of.of(texts[:4]), of.of(texts[4:])]
+    for t, g in zip(texts, [*got[0].T, *got[1].T]):
+        for codec, one in zip(M.SINGLE, g):
+            bad = "".join(M.image(c, codec) if c > "\x7f" else c for c in t)
+            x, y = M.changed(bad, t)
+            a, b = model.logp([x, y])
+            assert one == pytest.approx(b / (len(y) + 1) - a / (len(x) + 1))
+
+
+def test_all_records_are_trained_and_validate(spark):
+    """No record is left out of the counts, and each that isn't suspicious is counted in the margin, with every encoding."""
+    texts = [f"chú lái đò {i} hát" for i in range(3_000)] + ["plain", None, ""]
+    df = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    assert (M.train(df, "text") == M.count_grams([t for t in texts if t is not None])).all()
+    folds = M.train_folds(df, "text")
+    assert M.gained(df, "text", folds).sum() == 3_000 * len(M.SINGLE)
+    got, margin = M.fit(df, "text")
+    assert (got == folds.sum(axis=0)).all() and margin == M.fit(df.repartition(1), "text")[1] != M.MARGIN
