@@ -7,8 +7,7 @@ steps with checkpoints, salted in the same way.
 
 Stratification: components with their label vectors are placed rarest outstanding label first into the split that needs
 it most. All are placed at once, by the driver, as classes with the number of components that have them: a class is a
-label vector or, where there are more than MAX_CLASSES vectors, a rarest label and a power of two of rows with the
-class's mean vector. A last pass moves components between splits while that brings rows and labels nearer to their
+label vector, however many vectors there are. A last pass moves components between splits while that brings rows and labels nearer to their
 targets. The components of a class are then numbered and take the places in order.
 """
 
@@ -23,7 +22,8 @@ from tessitura.runtime import cut
 
 #: Parts in which the components of one class are numbered, and parts of the anchors of one value.
 PARTS, SALTS = 512, 16
-#: Labels that can be balanced (more raise an error), classes that come to the driver, and moves of the last pass.
+#: Labels that can be balanced (more raise an error), classes that the last pass weighs at once (the result doesn't depend
+#: on it), and moves of the last pass.
 MAX_LABELS, MAX_CLASSES, MOVES = 1_000, 50_000, 2_000
 SWAPS, ROWS = 200, 8
 
@@ -169,7 +169,7 @@ def settle(labels: np.ndarray, out: np.ndarray, want: np.ndarray) -> np.ndarray:
     total = np.maximum((labels * out.sum(axis=1)[:, None]).sum(axis=0), 1.0)
     weight = 1.0 / total**2
     weight[:-1] /= ROWS * max(len(total) - 1, 1)
-    square = (weight * labels**2).sum(axis=1)
+    square = np.concatenate([(weight * labels[i : i + MAX_CLASSES] ** 2).sum(axis=1) for i in range(0, len(labels), MAX_CLASSES)] or [np.empty(0)])
     big = np.argsort(-labels[:, -1], kind="stable")[:SWAPS]
     apart = square[big][:, None] + square[big] - 2 * (labels[big] * weight) @ labels[big].T
     for _ in range(MOVES):
@@ -178,7 +178,7 @@ def settle(labels: np.ndarray, out: np.ndarray, want: np.ndarray) -> np.ndarray:
             for b in range(len(want)):
                 if a == b:
                     continue
-                pull = labels @ (weight * (want[a] - want[b]))
+                pull = np.concatenate([labels[i : i + MAX_CLASSES] @ (weight * (want[a] - want[b])) for i in range(0, len(labels), MAX_CLASSES)] or [np.empty(0)])
                 n = np.clip(np.round(-pull / np.maximum(2 * square, 1e-300)), 0, out[:, a])
                 gain = 2 * n * pull + 2 * n**2 * square
                 i = int(gain.argmin()) if len(gain) else 0
@@ -225,10 +225,9 @@ def assign_splits(df: DataFrame, keys: dict[str, Column], label: Column, targets
     of_label = F.create_map(*[F.lit(x) for kv in number.items() for x in kv])
     of = counts.withColumn("l", of_label[F.col("_label")])
     # a component has one entry a label
-    vectors = of.groupBy("component").agg(F.array_sort(F.collect_list(F.struct("l", "n"))).alias("v"), F.min("l").alias("rare"), F.sum("n").alias("size"))
+    vectors = of.groupBy("component").agg(F.array_sort(F.collect_list(F.struct("l", "n"))).alias("v"), F.sum("n").alias("size"))
+    # equal vectors are one class, so that the driver gets as many classes as there are different ones
     vectors = cut(vectors.withColumn("c", F.xxhash64("v")))
-    if vectors.select("c").distinct().limit(MAX_CLASSES + 1).count() > MAX_CLASSES:
-        vectors = vectors.withColumn("c", F.xxhash64("rare", F.floor(F.log2("size"))))
     sums = vectors.select("c", F.explode("v").alias("e")).groupBy("c", "e.l").agg(F.sum("e.n").alias("n")).toArrow()
     sizes = vectors.groupBy("c").agg(F.count("*").alias("n"), F.avg("size").alias("size")).orderBy(F.desc("size"), "c").toArrow()
     classes, times = sizes.column("c").to_numpy(), sizes.column("n").to_numpy()

@@ -155,3 +155,15 @@ def test_rare_label_keeps_its_shares_among_many_components(spark):
     assert [got.get(("rare", s), 0) for s in ("train", "valid", "test")] == [24, 3, 3]
     assert all(abs(got["y", s] - 30_000 * t) <= 1 for s, t in (("train", 0.8), ("valid", 0.1), ("test", 0.1)))
     assert splits.assign_splits(df.limit(0), splits.recording_keys(), F.col("quality_label"), [("train", 1.0)]).count() == 0
+
+
+def test_many_label_vectors_do_not_change_the_method(spark, monkeypatch):
+    """The splits are the same whatever MAX_CLASSES is: beyond it no vector is replaced by a mean."""
+    rng = random.Random(9)
+    df = spark.createDataFrame([(f"v{i // 4}", None, None, None, f"label {rng.randint(0, 19)}", 1) for i in range(2_000)], COLS)
+    targets = [("train", 0.8), ("valid", 0.1), ("test", 0.1)]
+    got = []
+    for most in (50_000, 100):
+        monkeypatch.setattr(splits, "MAX_CLASSES", most)
+        got.append({(r.video_id, r.split_name) for r in splits.assign_splits(df, splits.recording_keys(), F.col("quality_label"), targets).collect()})
+    assert got[0] == got[1] and len(got[0]) == 500
