@@ -103,3 +103,17 @@ def test_all_records_are_trained_and_validate(spark):
     assert M.gained(df, "text", folds).sum() == 3_000 * len(M.SINGLE)
     got, margin = M.fit(df, "text")
     assert (got == folds.sum(axis=0)).all() and margin == M.fit(df.repartition(1), "text")[1] != M.MARGIN
+
+
+def test_sentences_ask_a_model_of_all_records(spark, tmp_path, monkeypatch):
+    """p2_found: no record of the cues is left out of the counts that its model is made of."""
+    from tessitura.llm import queries
+
+    texts = [f"chú lái đò {i} hát. Cô ca sĩ nghe." for i in range(300)]
+    spark.createDataFrame(list(enumerate(texts)), "cue_id bigint, text string").write.parquet(str(tmp_path / "transcript_cues.parquet"))
+    spark.createDataFrame([(1, "Xin chào. Tôi đây.", "vi")], "unit_id bigint, text string, lang string").write.parquet(str(tmp_path / "sentence_units.parquet"))
+    seen = []
+    whole = M.fit
+    monkeypatch.setattr(M, "fit", lambda *x: seen.append(whole(*x)) or seen[-1])
+    got = queries.p2_found(spark, str(tmp_path)).collect()
+    assert len(got) == 301 and (seen[0][0] == M.count_grams(texts)).all()
