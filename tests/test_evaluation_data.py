@@ -244,3 +244,15 @@ def test_drafts_of_one_long_video_stay_linear(spark):
     out = reports.drafts(s, lyric, "video", "seg", "seg", "text")
     got = {r.seg: (r.draft, r.rate) for r in out.collect()}
     assert got == {k: (t + " thêm" * (k == "s0599"), 1.0) for _, k, t in segs}
+
+
+def test_voiced_tiles_of_many_recordings(spark):
+    """Tiles fill every recording, one of them over several batches of frames."""
+    rng = random.Random(5)
+    n = {k: 12_000 if k == 3 else 60 for k in range(12)}
+    rows = [(k, i, float(rng.random() < 0.5), 0.9) for k, m in n.items() for i in range(m)]
+    d = spark.createDataFrame([(k, m * 32) for k, m in n.items()], "e bigint, duration_ms bigint")
+    p = audio.VoiceParams(confidence=0.5, min_volume=0.1, start_secs=0.064, stop_secs=0.064)
+    t = regions.voiced_tiles(spark.createDataFrame(rows, "e bigint, i int, p double, v double"), "e", "i", "p", "v", d, params=p, gap_ms=64, least_ms=64, pad_ms=32)
+    got = t.groupBy("e").agg(F.sum(F.col("end_ms") - F.col("begin_ms")), F.min("begin_ms"), F.max("end_ms")).collect()
+    assert {tuple(r) for r in got} == {(k, m * 32, 0, m * 32) for k, m in n.items()}
