@@ -256,3 +256,15 @@ def test_voiced_tiles_of_many_recordings(spark):
     t = regions.voiced_tiles(spark.createDataFrame(rows, "e bigint, i int, p double, v double"), "e", "i", "p", "v", d, params=p, gap_ms=64, least_ms=64, pad_ms=32)
     got = t.groupBy("e").agg(F.sum(F.col("end_ms") - F.col("begin_ms")), F.min("begin_ms"), F.max("end_ms")).collect()
     assert {tuple(r) for r in got} == {(k, m * 32, 0, m * 32) for k, m in n.items()}
+
+
+def test_voiced_tiles_of_recordings_without_signals(spark):
+    """Recordings in which nothing is heard set off no signal and are one quiet tile, beside one that has speech."""
+    levels = {1: [0.0] * 50, 2: [0.0] * 10 + [1.0] * 20 + [0.0] * 20, 3: [None] * 5, 4: [float("nan")]}
+    rows = [(k, i, x, 0.9) for k, xs in levels.items() for i, x in enumerate(xs)]
+    d = spark.createDataFrame([(k, len(xs) * 32) for k, xs in levels.items()], "e bigint, duration_ms bigint")
+    p = audio.VoiceParams(confidence=0.5, min_volume=0.1, start_secs=0.064, stop_secs=0.064)
+    t = regions.voiced_tiles(spark.createDataFrame(rows, "e bigint, i int, p double, v double"), "e", "i", "p", "v", d, params=p, gap_ms=64, least_ms=64, pad_ms=32)
+    got = sorted(map(tuple, t.select("e", "label", "begin_ms", "end_ms").collect()), key=lambda r: (r[0], r[2]))
+    assert [r for r in got if r[0] != 2] == [(1, "quiet", 0, 1600), (3, "quiet", 0, 160), (4, "quiet", 0, 32)]
+    assert [r[1] for r in got if r[0] == 2] == ["quiet", "speaking", "quiet"]
