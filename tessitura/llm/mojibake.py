@@ -176,29 +176,33 @@ def count_grams(texts: list[str]) -> np.ndarray:
     return out
 
 
+def _halves(batches: Iterator[pa.RecordBatch]) -> Iterator[list[list[str]]]:
+    """The clean texts of each batch of texts and halves, by half: what isn't suspicious, then what no chain applies to."""
+    known: dict[str, bool] = {}
+    for b in batches:
+        b = b.filter(b.column(0).is_valid())
+        fold = b.column(1).to_numpy(zero_copy_only=False)
+        odd = suspicious(*cp.points(b.column(0)))
+        out = [b.column(0).filter(pa.array(~odd & (fold == f))).to_pylist() for f in range(FOLDS)]
+        for t, f in zip(b.column(0).filter(pa.array(odd)).to_pylist(), fold[odd].tolist()):
+            if (clean := known.get(t)) is None:
+                clean = known[t] = not (_control.search(t) or _lossy.search(t) or candidates(t))
+            if clean:
+                out[f].append(t)
+        if len(known) > 100_000:
+            known.clear()
+        yield out
+
+
 def train_folds(df: DataFrame, text: str) -> np.ndarray:
     """Counts over all clean records of df, by half; only the cells (at most FOLDS * 3 * 2**BITS) come to the driver."""
     size = 3 << BITS
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(FOLDS * size, np.int64)
-        known: dict[str, bool] = {}
-        for b in batches:
-            b = b.filter(b.column(0).is_valid())
-            fold = b.column(1).to_numpy(zero_copy_only=False)
-            odd = suspicious(*cp.points(b.column(0)))
-            more: list[list[str]] = [[] for _ in range(FOLDS)]
-            for t, f in zip(b.column(0).filter(pa.array(odd)).to_pylist(), fold[odd].tolist()):
-                if (clean := known.get(t)) is None:
-                    clean = known[t] = not (_control.search(t) or _lossy.search(t) or candidates(t))
-                if clean:
-                    more[f].append(t)
+        for texts in _halves(batches):
             for f in range(FOLDS):
-                own = total[f * size : (f + 1) * size]
-                own += count_grams(b.column(0).filter(pa.array(~odd & (fold == f))).to_pylist())
-                own += count_grams(more[f])
-            if len(known) > 100_000:
-                known.clear()
+                total[f * size : (f + 1) * size] += count_grams(texts[f])
         at = np.flatnonzero(total)
         yield pa.record_batch([pa.array(at.astype(np.int32)), pa.array(total[at])], ["cell", "n"])
 
@@ -291,7 +295,7 @@ class Gains:
 
 def margin_of(gained: np.ndarray) -> float:
     """The margin between 0 and all gains but one in a thousand, given how many there are of each step. No chain applies to
-    a text that isn't suspicious, so what clean ones gain is 0."""
+    a clean text, so what it gains as it stands is 0."""
     if gained.sum() < LEAST * len(SINGLE):
         return MARGIN
     high = (int(np.searchsorted(np.cumsum(gained), 0.001 * gained.sum())) - SPAN * STEPS) / STEPS
@@ -304,21 +308,19 @@ def fit_margin(counts: np.ndarray, held: list[str]) -> float:
 
 
 def gained(df: DataFrame, text: str, folds: np.ndarray) -> np.ndarray:
-    """How many gains there are of each step on all texts that aren't suspicious, each by the other half's model."""
+    """How many gains there are of each step on all clean records of df, each by the other half's model."""
     sent = df.sparkSession.sparkContext.broadcast(folds)
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = [Gains(Model(sent.value.sum(axis=0) - sent.value[f])) for f in range(FOLDS)]
         total = np.zeros(2 * SPAN * STEPS, np.int64)
-        for b in batches:
-            b = b.filter(pa.array(~suspicious(*cp.points(b.column(0)))))
-            fold = b.column(1).to_numpy(zero_copy_only=False)
+        for texts in _halves(batches):
             for f in range(FOLDS):
-                total += of[f].counts(b.column(0).filter(pa.array(fold == f)).to_pylist())
+                total += of[f].counts(texts[f])
         at = np.flatnonzero(total)
         yield pa.record_batch([pa.array(at.astype(np.int32)), pa.array(total[at])], ["step", "n"])
 
-    rows = df.select(F.col(text).alias("t"), _fold("t").alias("fold")).filter(F.col("t").isNotNull())
+    rows = df.select(F.col(text).alias("t"), _fold("t").alias("fold"))
     rows = rows.mapInArrow(part, "step int, n bigint").groupBy("step").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(2 * SPAN * STEPS, np.int64)
     out[rows.column("step").to_numpy()] = rows.column("n").to_numpy()
@@ -326,7 +328,7 @@ def gained(df: DataFrame, text: str, folds: np.ndarray) -> np.ndarray:
 
 
 def fit(df: DataFrame, text: str) -> tuple[np.ndarray, float]:
-    """(counts, margin) of the model of df's texts: counts over all clean ones, the margin by all that aren't suspicious."""
+    """(counts, margin) of the model of df's texts: counts over all clean ones, the margin by all of them too."""
     folds = train_folds(df, text)
     return folds.sum(axis=0), margin_of(gained(df, text, folds))
 

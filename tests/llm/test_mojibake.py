@@ -117,3 +117,19 @@ def test_sentences_ask_a_model_of_all_records(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(M, "fit", lambda *x: seen.append(whole(*x)) or seen[-1])
     got = queries.p2_found(spark, str(tmp_path)).collect()
     assert len(got) == 301 and (seen[0][0] == M.count_grams(texts)).all()
+
+
+def test_clean_records_with_other_letters_validate(spark, tmp_path, monkeypatch):
+    """Clean records with letters that a chain might have made are counted in the margin too, and p2_found asks that margin."""
+    from tessitura.llm import queries
+
+    texts = [f"chú lái đò {i} hát. Cô nghe." for i in range(60)] + [f"Señora {i} gửi thư. Cô nghe." for i in range(50)] + [f"привет всем {i}. Да." for i in range(40)]
+    df = spark.createDataFrame(list(enumerate(texts)), "cue_id bigint, text string").repartition(3)
+    gained = M.gained(df, "text", M.train_folds(df, "text"))
+    assert gained.sum() == len(texts) * len(M.SINGLE)
+    df.write.parquet(str(tmp_path / "transcript_cues.parquet"))
+    spark.createDataFrame([], "unit_id bigint, text string, lang string").write.parquet(str(tmp_path / "sentence_units.parquet"))
+    seen = []
+    whole = M.fit
+    monkeypatch.setattr(M, "fit", lambda *x: seen.append(whole(*x)) or seen[-1])
+    assert queries.p2_found(spark, str(tmp_path)).count() == len(texts) and seen[0][1] == M.margin_of(gained)
